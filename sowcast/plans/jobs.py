@@ -4,6 +4,8 @@ Every stage writes its table and reads it back, so a lost executor costs at
 most the stage that was running, and no plan grows over the whole chain.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from sowcast.functions.calendar import AsOf
@@ -58,22 +60,31 @@ def full_rebuild(
     plants: DataFrame,
     as_of: AsOf = None,
 ) -> None:
-    """Build all ten tables in dependency order and publish them together."""
+    """Build all ten tables in dependency order and publish them together.
+
+    Tables that do not depend on each other are built at the same time, so that
+    the last tasks of one leave no executors idle.
+    """
     build = _Build(spark, root)
-    _put_weather(build, raw_weather, "parquet")
-    history = build.put("temp_soil_historical", history)
-    sun = build.put("sun_times", sun, sort_by=BY_CITY_AND_DAY)
-    plants = build.put("plants", plants)
-    freezes = build.put(
-        "avg_freeze_dates", average_freeze_dates(freeze_by_year(history), as_of), sort_by=("city",)
-    )
-    climatology = build.put("avg_temp_daily", daily_climatology(history, as_of), sort_by=BY_CITY_AND_DAY)
-    daily = build.put("daily_data", daily_data(sun, climatology), sort_by=BY_CITY_AND_DAY)
-    build.put(
-        "planting_gantt",
-        planting_calendar(daily, freezes, plants),
-        sort_by=("city", "growing_season", "harvest_type"),
-    )
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        weather = pool.submit(_put_weather, build, raw_weather, "parquet")
+        plants_table = pool.submit(build.put, "plants", plants)
+        sun_table = pool.submit(build.put, "sun_times", sun, sort_by=BY_CITY_AND_DAY)
+        observed = build.put("temp_soil_historical", history)
+        freezes = pool.submit(
+            build.put,
+            "avg_freeze_dates",
+            average_freeze_dates(freeze_by_year(observed), as_of),
+            sort_by=("city",),
+        )
+        climatology = build.put("avg_temp_daily", daily_climatology(observed, as_of), sort_by=BY_CITY_AND_DAY)
+        daily = build.put("daily_data", daily_data(sun_table.result(), climatology), sort_by=BY_CITY_AND_DAY)
+        build.put(
+            "planting_gantt",
+            planting_calendar(daily, freezes.result(), plants_table.result()),
+            sort_by=("city", "growing_season", "harvest_type"),
+        )
+        weather.result()
     build.publish()
 
 

@@ -10,7 +10,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sowcast.functions.clock import from_twelve_hour
+from sowcast.sources.payloads import SUN_CLOCKS, SUN_FIELDS
 
 AS_OF = "2001-07-15"
 YEAR = 2001
@@ -20,15 +20,31 @@ def _eighths(price: Column) -> Column:
     return F.floor(price / 125) / F.lit(8.0)
 
 
+def _two_digits(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
+
+
+def _parts(seconds: Column) -> tuple[Column, Column, Column]:
+    whole = seconds.cast("int")
+    minutes = F.floor(whole / 60)
+    return F.floor(whole / 3600), _two_digits(minutes % 60), _two_digits(whole % 60)
+
+
 def _clock12(seconds: Column) -> Column:
-    hour = F.floor(seconds / 3600)
-    return F.format_string(
-        "%d:%02d:%02d %s",
-        F.when(hour % 12 == 0, F.lit(12)).otherwise(hour % 12),
-        F.floor(seconds / 60) % 60,
-        seconds % 60,
-        F.when(hour < 12, "AM").otherwise("PM"),
-    )
+    hour, minute, second = _parts(seconds)
+    hour12 = F.when(hour % 12 == 0, F.lit(12)).otherwise(hour % 12)
+    half = F.when(hour < 12, " AM").otherwise(" PM")
+    return F.concat(hour12.cast("string"), F.lit(":"), minute, F.lit(":"), second, half)
+
+
+def _clock24(seconds: Column) -> Column:
+    hour, minute, second = _parts(seconds)
+    return F.concat(_two_digits(hour), F.lit(":"), minute, F.lit(":"), second)
+
+
+def _duration(seconds: Column) -> Column:
+    hour, minute, second = _parts(seconds)
+    return F.concat(hour.cast("string"), F.lit(":"), minute, F.lit(":"), second)
 
 
 class Inputs:
@@ -76,44 +92,43 @@ class Inputs:
         )
 
     @cached_property
-    def landed_sun(self) -> DataFrame:
-        """Sun times of one year as a service sends them, in 12-hour text."""
-        days = self.stations.withColumn(
-            "date",
-            F.explode(F.sequence(F.make_date(F.lit(YEAR), F.lit(1), F.lit(1)),
-                                 F.make_date(F.lit(YEAR), F.lit(12), F.lit(31)))),
-        )
+    def sun_seconds(self) -> DataFrame:
+        """Sun times of one year in seconds of the day, per station and day."""
+        first, last = (F.make_date(F.lit(YEAR), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+        # spread the stations before each becomes 365 rows
+        spread = self.stations.repartition("city")
+        days = spread.withColumn("date", F.explode(F.sequence(first, last)))
         from_solstice = F.abs(F.dayofyear("date") - 172)
         rise = 21600 + from_solstice * 37 + F.col("s_nationkey") * 41
-        set_ = 72000 - from_solstice * 41 - F.col("s_nationkey") * 37
-        length = set_ - rise
+        dusk = 72000 - from_solstice * 41 - F.col("s_nationkey") * 37
         return days.select(
             "city",
-            F.date_format("date", "yyyy-MM-dd").alias("date"),
+            "date",
             # some stations have no morning twilight
-            F.when(F.col("s_acctbal") >= 0, _clock12(rise - 1800)).alias("nautical_twilight_begin"),
-            _clock12(rise).alias("sunrise"),
-            _clock12(F.floor((rise + set_) / 2)).alias("solar_noon"),
-            _clock12(set_).alias("sunset"),
-            _clock12(set_ + 1800).alias("nautical_twilight_end"),
-            F.format_string(
-                "%d:%02d:%02d", F.floor(length / 3600), F.floor(length / 60) % 60, length % 60
-            ).alias("day_length"),
+            F.when(F.col("s_acctbal") >= 0, rise - 1800).alias("morning_twilight"),
+            rise.alias("sunrise"),
+            F.floor((rise + dusk) / 2).alias("solar_noon"),
+            dusk.alias("sunset"),
+            (dusk + 1800).alias("evening_twilight"),
+            _duration(dusk - rise).alias("day_length"),
         )
 
     @cached_property
-    def sun(self) -> DataFrame:
-        return self.landed_sun.select(
+    def landed_sun(self) -> DataFrame:
+        """Sun times as a service sends them, in 12-hour text under its own names."""
+        columns = {ours: theirs for theirs, ours in SUN_FIELDS.items()}
+        return self.sun_seconds.select(
             "city",
-            F.to_date("date").alias("date"),
-            from_twelve_hour("nautical_twilight_begin").alias("morning_twilight"),
-            from_twelve_hour("sunrise").alias("sunrise"),
-            from_twelve_hour("solar_noon").alias("solar_noon"),
-            from_twelve_hour("sunset").alias("sunset"),
-            from_twelve_hour("nautical_twilight_end").alias("evening_twilight"),
+            F.date_format("date", "yyyy-MM-dd").alias("date"),
+            *[_clock12(F.col(c)).alias(columns[c]) for c in SUN_CLOCKS],
             "day_length",
         )
 
+    @cached_property
+    def sun(self) -> DataFrame:
+        clocks = [_clock24(F.col(c)).alias(c) for c in SUN_CLOCKS]
+        return self.sun_seconds.select("city", "date", *clocks, "day_length")
+
     @cached_property
     def plants(self) -> DataFrame:
         size = F.col("p_size")

@@ -177,6 +177,11 @@ def weekly_viability(i: Inputs) -> DataFrame:
     return catalogue.weekly_viability(daily_weather(i), i.plants, i.selection, AS_OF)
 
 
+@query
+def viability_next_28_days(i: Inputs) -> DataFrame:
+    return catalogue.weekly_viability(daily_weather(i), i.plants, i.selection, AS_OF, days=28)
+
+
 @query
 def planting_segments(i: Inputs) -> DataFrame:
     return catalogue.planting_segments(i.plants, planting_windows(i), i.selection)
