@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sowcast.functions.calendar import AsOf, as_of_date
 from sowcast.functions.labels import pollinator_icons, sow_label, viability_label
 from sowcast.operators.planting import GROUP
-from sowcast.operators.relational import keep_where
+from sowcast.operators.relational import keep_where, shuffle_again
 
 POLLINATOR_FLAGS = {
     "bees": "attracts_bees",
@@ -90,7 +90,7 @@ def weekly_viability(
     good = F.col("viable_days") >= good_days
     return (
         selected_plants(selection, plants)
-        .join(highs, "city")
+        .join(shuffle_again(highs, "city"), "city")
         .withColumn("viable_days", viable_days)
         .select(
             "city",

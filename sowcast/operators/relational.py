@@ -33,6 +33,16 @@ def keep_where(df: DataFrame, *conditions: Column | None) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, given)) if given else df
 
 
+def shuffle_again(df: DataFrame, key: str) -> DataFrame:
+    """The same rows, no longer known to be partitioned by a string key.
+
+    For the small side of a join whose other side may hold most of its rows
+    under one key. Spark splits such a key's partition at run time only if both
+    sides come straight from a shuffle; an aggregate by the join key does not.
+    """
+    return df.withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 

@@ -1,0 +1,382 @@
+"""Hand-written cases at the edges of each dataset."""
+
+import pytest
+from helpers import (
+    daily,
+    day,
+    days_from,
+    groups,
+    history,
+    last_freezes,
+    plants,
+    rows,
+    selection,
+    weather,
+)
+from pyspark.sql import functions as F
+
+from sowcast.operators import catalogue, climate, conditions, freeze, planting, relational
+from sowcast.operators.weather import daily_weather, irrigation_tracker
+
+AS_OF = "2026-02-28"
+
+
+def freezing(spark, *days, city="Bend", low=20.0):
+    return history(spark, *[(city, d, low, 50.0, 50.0, 50.0) for d in days])
+
+
+def sun_times(spark, *entries):
+    """Sun times from (city, day, morning twilight, sunrise, sunset, evening twilight)."""
+    return spark.createDataFrame(
+        [(c, day(d), mt, rise, "12:00:00", dusk, et, "9:00:00") for c, d, mt, rise, dusk, et in entries],
+        "city STRING, date DATE, morning_twilight STRING, sunrise STRING, solar_noon STRING, sunset STRING, "
+        "evening_twilight STRING, day_length STRING",
+    )
+
+
+class TestIrrigation:
+    @pytest.mark.parametrize(
+        ("rain", "status"),
+        [
+            ([1.0], "No irrigation needed"),
+            ([0.1] * 10, "No irrigation needed"),  # the sum of doubles is below 1
+            ([0.9994], "Light irrigation needed"),
+            ([0.9996], "No irrigation needed"),
+            ([0.5], "Light irrigation needed"),
+            ([0.499], "Irrigation needed"),
+            ([None], "Irrigation needed"),
+            ([None, 0.6], "Light irrigation needed"),
+        ],
+    )
+    def test_status_of_the_rounded_total(self, spark, rain, status):
+        # repeated days of one week, so that ten readings fit
+        raw = weather(spark, *[("Bend", "2026-02-02", 50.0, 40.0, r) for r in rain])
+        assert rows(irrigation_tracker(raw), "irrigation_status") == [(status,)]
+
+    def test_need_is_a_parameter(self, spark):
+        raw = weather(spark, ("Bend", "2026-02-02", 50.0, 40.0, 0.8))
+        got = irrigation_tracker(raw, needed=0.75, light=0.25)
+        assert rows(got, "rainfall_needed", "surplus_deficit", "irrigation_status") == [
+            (0.75, 0.05, "No irrigation needed")
+        ]
+
+    def test_missing_temperature(self, spark):
+        raw = weather(spark, ("Bend", "2026-02-02", None, 40.0, 0.8))
+        assert rows(daily_weather(raw), "temp_avg", "temp_min") == [(None, 40.0)]
+
+
+class TestFreezeDates:
+    def test_one_half_only(self, spark):
+        assert freeze.freeze_by_year(freezing(spark, "2020-01-05", "2020-06-30")).isEmpty()
+        assert freeze.freeze_by_year(freezing(spark, "2020-07-01", "2020-12-30")).isEmpty()
+
+    def test_halves_meet_at_july(self, spark):
+        got = freeze.freeze_by_year(freezing(spark, "2020-01-05", "2020-06-30", "2020-07-01", "2020-12-30"))
+        assert rows(got) == [("Bend", 2020, day("2020-06-30"), day("2020-07-01"))]
+
+    def test_threshold_is_inclusive(self, spark):
+        both = ("2020-03-01", "2020-10-01")
+        assert not freeze.freeze_by_year(freezing(spark, *both, low=32.0)).isEmpty()
+        assert freeze.freeze_by_year(freezing(spark, *both, low=32.1)).isEmpty()
+        assert not freeze.freeze_by_year(freezing(spark, *both, low=32.1), threshold=33.0).isEmpty()
+
+    def test_look_backs(self, spark):
+        seen = freezing(spark, "2015-03-01", "2015-10-01", "2016-03-11", "2016-10-11")
+        got = freeze.average_freeze_dates(freeze.freeze_by_year(seen), AS_OF).first()
+        # 2016 = 2026 - 10 is included, 2015 is not; no year within 5
+        assert got.avg_last_freeze_ten_years == day("2026-03-12")  # day 71 of a leap year
+        assert got.avg_last_freeze_all_time == day("2026-03-07")  # (60 + 71) / 2 = 65.5 rounds up
+        assert got.avg_last_freeze_five_years is None
+        assert got.avg_first_freeze_five_years is None
+
+    def test_callout(self, spark):
+        got = rows(freeze.freeze_callout(last_freezes(spark, Bend="2026-05-07")))
+        assert got == [("Bend", "May 07", "Bend · All-time historical avg")]
+
+
+class TestClimate:
+    def test_leap_days(self, spark):
+        seen = history(
+            spark,
+            ("Bend", "2024-02-29", 10.0, 20.0, 30.0, 40.0),
+            ("Bend", "2023-03-01", 20.0, 40.0, None, 50.0),
+            ("Bend", "2024-12-31", 1.0, 2.0, 3.0, 4.0),
+        )
+        climatology = climate.daily_climatology(seen, AS_OF)
+        assert rows(climatology) == [
+            ("Bend", day("2026-03-01"), 15.0, 30.0, 30.0, 45.0),
+            ("Bend", day("2027-01-01"), 1.0, 2.0, 3.0, 4.0),
+        ]
+        sun = sun_times(spark, *[("Bend", d, *["06:00:00"] * 4) for d in days_from("2026-01-01", 365)])
+        assert rows(climate.daily_data(sun, climatology), "date") == [(day("2026-03-01"),)]
+
+    def test_seasonal_conditions_keep_every_sun_day(self, spark):
+        sun = sun_times(
+            spark,
+            ("Bend", "2026-03-01", None, "06:30:00", "18:00:00", "18:30:00"),
+            ("Nowhere", "2026-03-01", "05:30:00", "06:00:00", "18:00:00", "18:30:00"),
+        )
+        data = climate.daily_data(
+            sun, climate.daily_climatology(history(spark, ("Bend", "2020-03-01", 1.0, 2.0, 3.0, 4.0)), AS_OF)
+        )
+        # 2020-03-01 is day 61, so it projects to 2 March and matches no sun day here
+        assert data.isEmpty()
+        got = climate.seasonal_conditions(sun, data, last_freezes(spark, Bend="2026-05-07"))
+        assert rows(got, "city", "morning_twilight", "sunrise", "avg_min_temp", "freeze_band_start", "freeze_band_end") == [
+            ("Bend", None, 6.5, None, day("2026-05-02"), day("2026-05-12")),
+            ("Nowhere", 5.5, 6.0, None, None, None),
+        ]
+        assert rows(climate.daylight_bands(sun)) == [("Bend", 0, 1, False), ("Nowhere", 1, 1, True)]
+
+
+GROUP = ("Warm Season", "Fruit", 6.0, 30.0, 90.0, 60.0)
+
+
+def windows_of(spark, days, freezes, *plant_groups):
+    g = groups(spark, *plant_groups)
+    starts = planting.outdoor_start(days, freezes, g)
+    return planting.planting_windows(planting.temperature_limit(starts, days, g))
+
+
+class TestPlantingWindows:
+    def test_soil_and_freeze_bounds_are_strict(self, spark):
+        days = daily(
+            spark,
+            ("Bend", "2026-05-01", 70, 65),  # the last freeze itself
+            ("Bend", "2026-05-02", 70, 60),  # soil exactly at the minimum
+            ("Bend", "2026-05-03", 70, None),
+            ("Bend", "2026-05-04", 70, 60.1),
+            ("Bend", "2026-05-05", 70, 80),
+        )
+        got = windows_of(spark, days, last_freezes(spark, Bend="2026-05-01"), GROUP)
+        assert rows(got, "planting_start", "outdoor_start", "planting_end", "planting_range") == [
+            (day("2026-03-23"), day("2026-05-04"), day("2026-06-03"), 72)
+        ]
+
+    def test_never_warm_enough(self, spark):
+        days = daily(spark, ("Bend", "2026-05-02", 70, 60), ("Bend", "2026-05-03", 70, 55))
+        assert windows_of(spark, days, last_freezes(spark, Bend="2026-05-01"), GROUP).isEmpty()
+
+    def test_city_without_freeze_dates(self, spark):
+        days = daily(spark, ("Bend", "2026-05-02", 70, 70))
+        assert windows_of(spark, days, last_freezes(spark, Elsewhere="2026-05-01"), GROUP).isEmpty()
+
+    def test_hot_on_the_first_day(self, spark):
+        days = daily(spark, ("Bend", "2026-05-02", 90.1, 61), ("Bend", "2026-05-01", 99, 50))
+        got = windows_of(spark, days, last_freezes(spark, Bend="2026-04-01"), GROUP)
+        assert rows(got, "outdoor_start", "planting_end") == [(day("2026-05-02"), day("2026-05-02"))]
+
+    def test_heat_bound_is_strict_and_later_heat_does_not_extend(self, spark):
+        days = daily(
+            spark,
+            ("Bend", "2026-05-02", 70, 61),
+            ("Bend", "2026-05-10", 90, 50),
+            ("Bend", "2026-05-20", 95, 50),
+            ("Bend", "2026-07-20", 99, 50),
+        )
+        got = windows_of(
+            spark,
+            days,
+            last_freezes(spark, Bend="2026-05-01"),
+            GROUP,
+            ("Warm Season", "Root", 1.0, 30.0, 96.0, 60.0),
+        )
+        assert rows(got, "harvest_type", "planting_end") == [
+            ("Fruit", day("2026-05-20")),
+            ("Root", day("2026-06-01")),
+        ]
+
+    def test_unknown_requirements(self, spark):
+        days = daily(spark, ("Bend", "2026-05-02", 70, 61))
+        freezes = last_freezes(spark, Bend="2026-05-01")
+        got = windows_of(
+            spark,
+            days,
+            freezes,
+            ("Warm Season", "Fruit", None, 30.0, 90.0, 60.0),
+            ("Warm Season", "Leaf", 1.0, 30.0, None, 60.0),
+            ("Warm Season", "Root", 1.0, 30.0, 90.0, None),
+        )
+        assert rows(got, "harvest_type", "planting_start", "planting_range", "planting_end") == [
+            ("Fruit", None, None, day("2026-06-01")),
+            ("Leaf", day("2026-04-25"), 37, day("2026-06-01")),
+        ]
+
+    def test_all_groups_alike(self, spark):
+        days = daily(spark, ("Bend", "2026-05-02", 70, 61), ("Bend", "2026-05-03", 70, 62))
+        same = [("Warm Season", f"T{n}", 1.0, 30.0, 90.0, 61.0) for n in range(3)]
+        got = windows_of(spark, days, last_freezes(spark, Bend="2026-05-01"), *same)
+        assert rows(got, "harvest_type", "outdoor_start") == [(f"T{n}", day("2026-05-03")) for n in range(3)]
+
+    def test_group_means_skip_nulls(self, spark):
+        got = planting.plant_groups(
+            plants(
+                spark,
+                {"weeks_indoor_before_transplant": None, "days_to_maturity": 50},
+                {"weeks_indoor_before_transplant": 6, "days_to_maturity": 61},
+            )
+        )
+        assert rows(got) == [("Cool Season", "Leaf", 6.0, 55.5, 75.0, 45.0)]
+
+    def test_half_weeks_round_up(self, spark):
+        days = daily(spark, ("Bend", "2026-05-02", 70, 61))
+        got = windows_of(
+            spark, days, last_freezes(spark, Bend="2026-05-01"), ("Warm Season", "Fruit", 2.5, 30.5, 90.0, 60.0)
+        )
+        assert rows(got, "planting_start", "planting_end") == [(day("2026-04-14"), day("2026-06-02"))]
+
+
+class TestConditions:
+    def test_today(self, spark):
+        raw = weather(spark, ("Bend", AS_OF, 50.9, -3.9, 0.0), ("Bend", "2026-02-27", 1.0, 1.0, 0.0))
+        sun = sun_times(spark, ("Portland", AS_OF, None, "06:58:00", None, None))
+        cities = spark.createDataFrame([("Bend",), ("Portland",), ("Bend",)], "city STRING")
+        got = conditions.today_conditions(cities, daily_weather(raw), sun, AS_OF)
+        assert rows(got) == [
+            ("Bend", "Saturday", "February 28, 2026", 50, -3, "50°F", "-3°F", "—", "—"),
+            ("Portland", "Saturday", "February 28, 2026", None, None, "—", "—", "6:58 AM", "—"),
+        ]
+
+    def test_recent_weeks_are_decided_per_city(self, spark):
+        raw = weather(
+            spark,
+            ("Bend", "2026-02-23", 50.0, 40.0, 0.5),
+            ("Bend", "2026-02-16", 50.0, 40.0, 0.49),
+            ("Bend", "2026-02-28", 90.0, 90.0, 9.0),  # the as-of day itself is not past
+            ("Bend", "2026-01-28", 90.0, 90.0, 9.0),  # 31 days ago
+            ("Eugene", "2026-02-23", 50.0, 40.0, None),
+            ("Portland", "2026-02-23", 50.0, 40.0, 0.2),
+            ("Portland", "2026-02-24", 51.0, 41.0, 0.5),
+        )
+        day_rows = daily_weather(raw)
+        tracker = irrigation_tracker(day_rows.where("city = 'Portland' AND date < '2026-02-24'"))
+        got = conditions.recent_weeks(day_rows, tracker, AS_OF)
+        assert rows(got, "city", "week_start", "avg_high", "total_precip", "irrigation_status", "is_needed") == [
+            ("Bend", day("2026-02-16"), 50.0, 0.49, "Irrigation needed", True),
+            ("Bend", day("2026-02-23"), 50.0, 0.5, "No irrigation needed", False),
+            ("Eugene", day("2026-02-23"), 50.0, None, "Irrigation needed", True),
+            ("Portland", day("2026-02-23"), 50.5, 0.2, "Irrigation needed", True),
+        ]
+
+    def test_forecast_without_rain_and_limit(self, spark):
+        raw = weather(spark, *[("Bend", d, 50.0, 40.0, None) for d in days_from("2026-02-25", 20)])
+        got = conditions.forecast(daily_weather(raw), AS_OF)
+        assert rows(got, "date", "precipitation", "rain_label") == [
+            (day(d), 0.0, "☁ —") for d in days_from(AS_OF, 10)
+        ]
+        assert conditions.forecast(daily_weather(raw), AS_OF, days=3).count() == 3
+
+
+class TestPlants:
+    def test_sow_labels_and_icons(self, spark):
+        table = plants(
+            spark,
+            {"common_name": "a", "direct_sow": True, "attracts_bees": True, "attracts_hummingbirds": True},
+            {"common_name": "b", "direct_sow": None, "weeks_indoor_before_transplant": 6, "attracts_bees": None},
+            {"common_name": "c", "weeks_indoor_before_transplant": None, "attracts_butterflies": True},
+        )
+        got = catalogue.plant_catalogue(table)
+        assert [tuple(r) for r in got.select("Plant", "Sow", "Pollinators").collect()] == [
+            ("a", "Direct", "🐝🌺"),
+            ("b", "6wk", ""),
+            ("c", None, "🦋"),
+        ]
+
+    @pytest.mark.parametrize(
+        ("filters", "names"),
+        [
+            ({}, ["a", "b", "c"]),
+            ({"growing_season": "Cool Season"}, ["a", "c"]),
+            ({"harvest_type": "Leaf"}, ["a", "b"]),
+            ({"growing_season": "Cool Season", "harvest_type": "Leaf"}, ["a"]),
+            ({"pollinator": "bees"}, ["b"]),
+            ({"pollinator": "butterflies", "harvest_type": "Root"}, ["c"]),
+            ({"pollinator": "hummingbirds"}, []),
+        ],
+    )
+    def test_filters(self, spark, filters, names):
+        table = plants(
+            spark,
+            {"common_name": "a", "attracts_hummingbirds": None},
+            {"common_name": "b", "growing_season": "Warm Season", "attracts_bees": True},
+            {"common_name": "c", "harvest_type": "Root", "attracts_butterflies": True},
+        )
+        assert [r.Plant for r in catalogue.plant_catalogue(table, **filters).collect()] == names
+
+    def test_viability_bounds_repeats_and_missing_forecasts(self, spark):
+        raw = weather(
+            spark,
+            ("Bend", "2026-02-27", 50.0, 1.0, 0.0),  # past
+            ("Bend", "2026-02-28", 45.0, 1.0, 0.0),  # at the lower bound
+            ("Bend", "2026-03-01", 75.0, 1.0, 0.0),  # at the upper bound
+            ("Bend", "2026-03-02", 75.0, 1.0, 0.0),
+            ("Bend", "2026-03-03", 75.1, 1.0, 0.0),
+            ("Bend", "2026-03-04", None, 1.0, 0.0),
+            ("Bend", "2026-03-07", 50.0, 1.0, 0.0),  # after 7 days
+            ("Eugene", "2026-02-28", None, 1.0, 0.0),
+        )
+        table = plants(spark, {"attracts_bees": True, "attracts_butterflies": True}, {"common_name": "Unloved"})
+        chosen = selection(spark, ("Bend", "Kale"), ("Bend", "Kale"), ("Eugene", "Kale"), ("Portland", "Kale"), ("Bend", "Gone"))
+        got = catalogue.weekly_viability(daily_weather(raw), table, chosen, AS_OF)
+        assert rows(got, "city", "common_name", "sow_method", "viable_days", "viability", "pollinators") == [
+            ("Bend", "Kale", "4 wks indoor", 3, "3/7 ✗", "🐝 🦋"),
+            ("Eugene", "Kale", "4 wks indoor", 0, "0/7 ✗", "🐝 🦋"),
+        ]
+        assert rows(
+            catalogue.weekly_viability(daily_weather(raw), table, chosen, AS_OF, good_days=3).where("is_good"),
+            "viability",
+        ) == [("3/7 ✓",)]
+
+    def test_segments_and_export(self, spark):
+        table = plants(spark, {"attracts_bees": True}, {"common_name": "Chard", "harvest_type": "Stem"})
+        windows = spark.createDataFrame(
+            [
+                ("Bend", "Cool Season", "Leaf", day("2026-04-01"), day("2026-05-01"), day("2026-06-01"), 61),
+                ("Bend", "Cool Season", "Stem", None, day("2026-05-01"), day("2026-06-01"), None),
+                ("Eugene", "Cool Season", "Leaf", day("2026-05-01"), day("2026-05-01"), day("2026-06-01"), 31),
+            ],
+            "city STRING, growing_season STRING, harvest_type STRING, planting_start DATE, outdoor_start DATE, "
+            "planting_end DATE, planting_range INT",
+        )
+        chosen = selection(spark, *[(c, n) for c in ("Bend", "Eugene", "Portland") for n in ("Kale", "Chard")])
+        april, may, june = (day(f"2026-0{m}-01") for m in (4, 5, 6))
+        assert rows(catalogue.planting_segments(table, windows, chosen)) == [
+            ("Bend", "Chard", "Cool Season", may, june, "Outdoor", ""),
+            ("Bend", "Kale", "Cool Season", april, may, "Indoor start", "🐝"),
+            ("Bend", "Kale", "Cool Season", may, june, "Outdoor", "🐝"),
+            ("Eugene", "Kale", "Cool Season", may, june, "Outdoor", "🐝"),
+        ]
+        export = catalogue.planting_export(table, windows, chosen)
+        assert export.columns[1:] == [
+            "Plant", "Family", "Season", "Type", "Ideal Min", "Ideal Max", "Min Viable", "Max Viable",
+            "Days to Maturity", "Sow Method", "Sq Ft", "Planting Start", "Outdoor Start", "Planting End",
+        ]
+        assert rows(export, "city", "Plant", "Sow Method", "Planting Start") == [
+            ("Bend", "Chard", "4 weeks indoor", None),
+            ("Bend", "Kale", "4 weeks indoor", april),
+            ("Eugene", "Kale", "4 weeks indoor", may),
+        ]
+        assert rows(catalogue.filter_options(windows, table)) == [
+            ("city", "Bend"),
+            ("city", "Eugene"),
+            ("growing_season", "Cool Season"),
+            ("harvest_type", "Leaf"),
+            ("harvest_type", "Stem"),
+        ]
+
+
+class TestRelational:
+    def test_select_plants_for_every_city(self, spark):
+        cities = spark.createDataFrame([("Bend",), ("Eugene",), ("Bend",)], "city STRING")
+        got = relational.select_plants(cities, ["Kale", "Chard"])
+        assert rows(got) == [("Bend", "Chard"), ("Bend", "Kale"), ("Eugene", "Chard"), ("Eugene", "Kale")]
+
+    def test_small_helpers(self, spark):
+        df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k STRING, v INT")
+        assert rows(relational.top_n_per_key(df, ["k"], [F.desc("v")], 1)) == [("a", 2), ("b", 3)]
+        assert rows(relational.keep_values(df, "k", ["b"])) == [("b", 3)]
+        assert rows(relational.keep_values(df, "k", None)) == rows(df)
+        assert rows(relational.keep_where(df, None, F.col("v") > 1, F.col("k") == "a")) == [("a", 2)]
+        assert rows(relational.keep_where(df, None)) == rows(df)
+        assert [r.k for r in relational.distinct_values(df, "k").collect()] == ["a", "b"]
+        assert rows(relational.row_counts({"x": df, "y": df.limit(0)})) == [("x", 3), ("y", 0)]

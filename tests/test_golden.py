@@ -1,0 +1,114 @@
+"""Known results for observed weather, from landed payloads to the datasets."""
+
+import json
+
+import golden
+import pytest
+from helpers import day, days_from, plants, rows, selection
+from pyspark.sql import functions as F
+
+from sowcast.operators.catalogue import weekly_viability
+from sowcast.operators.conditions import forecast, forecast_range, recent_weeks
+from sowcast.operators.freeze import freeze_by_year
+from sowcast.operators.weather import daily_weather, irrigation_tracker, latest_weeks
+from sowcast.sources.payloads import read_forecast
+
+
+@pytest.fixture(scope="module")
+def daily(spark, tmp_path_factory):
+    landed = tmp_path_factory.mktemp("landed") / "payloads.json"
+    with open(landed, "w") as out:
+        for city in golden.HIGHS:
+            arrays = {
+                "time": days_from(golden.FIRST_DAY, 37),
+                "temperature_2m_max": golden.HIGHS[city],
+                "temperature_2m_min": golden.LOWS[city],
+                "precipitation_sum": golden.RAIN[city],
+            }
+            out.write(json.dumps({"city": city, "daily": arrays}) + "\n")
+    return daily_weather(read_forecast(spark, str(landed))).cache()
+
+
+def test_temp_avg_rounds_the_scaled_double(daily):
+    averages = {(r.city, str(r.date)): r.temp_avg for r in daily.collect()}
+    assert len(averages) == 74
+    assert averages["Bend", "2026-02-17"] == 30.6  # decimal rounding would give 30.5
+    assert averages["Portland", "2026-01-29"] == 47.3
+
+
+def test_irrigation_tracker(daily):
+    got = rows(
+        irrigation_tracker(daily).withColumn("week", F.col("week_start").cast("string")),
+        "city",
+        "week",
+        "total_rainfall",
+        "surplus_deficit",
+        "irrigation_status",
+    )
+    assert got == golden.TRACKER
+
+
+def test_weekly_totals_add_up_to_the_days(daily):
+    weekly = irrigation_tracker(daily).agg(F.sum("total_rainfall")).first()[0]
+    assert weekly == pytest.approx(daily.agg(F.sum("precipitation")).first()[0])
+
+
+def test_latest_weeks_include_future_ones(daily):
+    weeks = rows(latest_weeks(irrigation_tracker(daily)).where("city = 'Bend'"), "week_start")
+    assert weeks == [(day(w),) for _, w, *_ in golden.TRACKER[1:6]]
+
+
+def test_recent_weeks(daily):
+    got = recent_weeks(daily, irrigation_tracker(daily), golden.AS_OF)
+    assert (
+        rows(
+            got.withColumn("week", F.col("week_start").cast("string")),
+            "city",
+            "week",
+            "avg_high",
+            "avg_low",
+            "total_precip",
+            "irrigation_status",
+        )
+        == golden.RECENT_WEEKS
+    )
+    flags = {(r.city, str(r.week_start)): (r.week_label, r.is_needed, r.flag) for r in got.collect()}
+    assert flags["Bend", "2026-02-02"] == ("Feb 02", True, "Needed")
+    assert flags["Bend", "2026-01-26"] == ("Jan 26", False, "OK ✓")
+    assert flags["Portland", "2026-02-23"] == ("Feb 23", False, "OK ✓")
+
+
+def test_forecast(daily):
+    got = forecast(daily, golden.AS_OF).where("city = 'Portland'")
+    assert rows(got, F.col("date").cast("string"), "temp_max", "temp_min", "precipitation") == golden.PORTLAND_FORECAST
+    labels = {str(r.date): (r.date_label, r.high_label, r.low_label, r.rain_label) for r in got.collect()}
+    assert labels["2026-02-28"] == ("Feb 28", "55°", "38°", "☁ —")
+    assert labels["2026-03-04"] == ("Mar 04", "50°", "46°", '🌧 0.50"')
+    assert rows(forecast_range(got)) == [("Portland", 38.0, 61.0)]
+
+
+def test_weekly_viability(spark, daily):
+    bands = list(golden.VIABLE_DAYS["Portland"])
+    catalogue = plants(
+        spark,
+        *[
+            {"common_name": f"{lo}-{hi}", "min_viable_temp_f": float(lo), "max_viable_temp_f": float(hi)}
+            for lo, hi in bands
+        ],
+    )
+    chosen = selection(spark, *[(c, f"{lo}-{hi}") for c in golden.VIABLE_DAYS for lo, hi in bands])
+    got = {
+        (r.city, r.common_name): (r.viable_days, r.is_good, r.viability)
+        for r in weekly_viability(daily, catalogue, chosen, golden.AS_OF).collect()
+    }
+    assert got == {
+        (city, f"{lo}-{hi}"): (n, n >= 4, f"{n}/7 {'✓' if n >= 4 else '✗'}")
+        for city, counts in golden.VIABLE_DAYS.items()
+        for (lo, hi), n in counts.items()
+    }
+
+
+def test_last_freeze_needs_an_autumn(daily):
+    assert freeze_by_year(daily).isEmpty()
+    bend = daily.where("city = 'Bend' AND temp_min <= 32").agg(F.max("date")).first()[0]
+    assert bend == day("2026-03-05")

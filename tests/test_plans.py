@@ -1,0 +1,245 @@
+"""Physical plans: what is scanned, shuffled, joined and pushed down."""
+
+import re
+
+import pytest
+from helpers import PLANT_DEFAULTS
+from pyspark.sql import functions as F
+
+from sowcast.operators import catalogue, climate, conditions, freeze, planting, relational, weather
+from sowcast.sources import schemas
+from workload.queries import QUERIES
+
+SUN = (
+    "city STRING, date DATE, morning_twilight STRING, sunrise STRING, solar_noon STRING, sunset STRING, "
+    "evening_twilight STRING, day_length STRING"
+)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Small stored tables, so that plans have real scans."""
+    root = tmp_path_factory.mktemp("stored")
+    days = spark.range(40).select(
+        F.concat(F.lit("c"), (F.col("id") % 4).cast("string")).alias("city"),
+        F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+    )
+    measures = {
+        "raw": ["temp_max", "temp_min", "precipitation"],
+        "history": ["temp_min", "temp_max", "soil_temp_0_7cm", "soil_temp_7_to_28cm"],
+    }
+    out = {}
+    for name, columns in measures.items():
+        table = days.select("*", *[(F.rand(n) * 60).alias(c) for n, c in enumerate(columns)])
+        table.write.parquet(str(root / name))
+        out[name] = spark.read.parquet(str(root / name))
+    sun_columns = ["morning_twilight", "sunrise", "solar_noon", "sunset", "evening_twilight", "day_length"]
+    days.select("*", *[F.lit("06:00:00").alias(c) for c in sun_columns]).write.parquet(str(root / "sun"))
+    plant = spark.createDataFrame([tuple(PLANT_DEFAULTS.values())], schemas.PLANTS)
+    plant.write.parquet(str(root / "plants"))
+    chosen = days.select("city", F.lit("Kale").alias("common_name"))
+    chosen.write.parquet(str(root / "selection"))
+    for name in ("sun", "plants", "selection"):
+        out[name] = spark.read.parquet(str(root / name))
+    return out
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def daily_and_freezes(stored):
+    freezes = freeze.average_freeze_dates(freeze.freeze_by_year(stored["history"]), "2026-02-28")
+    climatology = climate.daily_climatology(stored["history"], "2026-02-28")
+    return climate.daily_data(stored["sun"], climatology), freezes
+
+
+def test_freezes_read_history_once_and_push_the_threshold(stored):
+    text = plan(freeze.freeze_by_year(stored["history"]))
+    assert text.count("FileScan") == 1
+    assert "LessThanOrEqual(temp_min,32.0)" in text
+    assert "Join" not in text
+    schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
+    assert "soil" not in schema and "temp_max" not in schema
+
+
+def test_weekly_totals_combine_before_the_only_shuffle(stored):
+    text = plan(weather.irrigation_tracker(weather.daily_weather(stored["raw"])))
+    assert text.count("Exchange") == 1
+    assert "partial_sum" in text
+    schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
+    assert schema == "city:string,date:date,precipitation:double"
+
+
+def test_climatology_is_one_shuffle(stored):
+    text = plan(climate.daily_climatology(stored["history"], "2026-02-28"))
+    assert text.count("Exchange") == 1
+    assert text.count("partial_avg") >= 4
+
+
+def test_latest_rows_are_limited_before_the_shuffle(stored):
+    for df in (
+        weather.latest_weeks(weather.irrigation_tracker(stored["raw"])),
+        conditions.forecast(stored["raw"], "2026-01-10"),
+    ):
+        text = plan(df)
+        assert re.search(r"WindowGroupLimit.*Final.*Exchange.*WindowGroupLimit.*Partial", text, re.S)
+
+
+def test_date_ranges_reach_the_scan(stored):
+    text = plan(conditions.forecast(stored["raw"], "2026-01-10"))
+    assert "GreaterThanOrEqual(date,2026-01-10)" in text
+    table = stored["selection"]
+    text = plan(catalogue.weekly_viability(stored["raw"], stored["plants"], table, "2026-01-10"))
+    assert "GreaterThanOrEqual(date,2026-01-10)" in text and "LessThan(date,2026-01-17)" in text
+
+
+def test_optional_filters_reach_the_scan(stored):
+    text = plan(catalogue.plant_catalogue(stored["plants"], "Cool Season", "Leaf", "bees"))
+    for pushed in ("EqualTo(growing_season,Cool Season)", "EqualTo(harvest_type,Leaf)", "EqualTo(attracts_bees,true)"):
+        assert pushed in text
+
+
+def everything(stored):
+    daily, freezes = daily_and_freezes(stored)
+    windows = planting.planting_calendar(daily, freezes, stored["plants"])
+    day_rows = weather.daily_weather(stored["raw"])
+    tracker = weather.irrigation_tracker(day_rows)
+    as_of = "2026-01-10"
+    return {
+        "windows": windows,
+        "seasonal": climate.seasonal_conditions(stored["sun"], daily, freezes),
+        "today": conditions.today_conditions(stored["raw"], day_rows, stored["sun"], as_of),
+        "recent": conditions.recent_weeks(day_rows, tracker, as_of),
+        "viability": catalogue.weekly_viability(day_rows, stored["plants"], stored["selection"], as_of),
+        "segments": catalogue.planting_segments(stored["plants"], windows, stored["selection"]),
+        "export": catalogue.planting_export(stored["plants"], windows, stored["selection"]),
+        "semi": relational.keep_selected(stored["plants"], stored["selection"], ["common_name"]),
+    }
+
+
+def test_every_join_has_an_equality(spark, stored):
+    """Also when nothing may be broadcast, no join multiplies its inputs out."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name, df in everything(stored).items():
+            text = plan(df)
+            assert "CartesianProduct" not in text, name
+            assert "NestedLoop" not in text, name
+            assert "Broadcast" not in text, name  # no forced broadcast anywhere
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_python_workers_and_no_single_partition_windows(stored):
+    for name, df in everything(stored).items():
+        text = plan(df)
+        assert "Python" not in text and "Arrow" not in text, name
+        for window in re.findall(r"windowspecdefinition\((\w+)#", text):
+            assert window == "city", name
+
+
+def test_small_sides_are_broadcast_after_their_size_is_known(spark):
+    text = final_plan(QUERIES["planting_windows"](spark, "/root/testdata/sf0.001"))
+    assert "BroadcastHashJoin [bucket" in text
+    assert "SortMergeJoin" not in text
+
+
+def test_results_do_not_depend_on_the_join_strategy(spark, stored):
+    before = {name: sorted(map(str, df.collect())) for name, df in everything(stored).items()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    try:
+        after = {name: sorted(map(str, df.collect())) for name, df in everything(stored).items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert after == before
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SKEW:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.fixture
+def many_plants(spark):
+    columns = spark.createDataFrame([], schemas.PLANTS).schema.fields[1:]
+    return spark.range(20000).select(
+        F.concat(F.lit("plant"), F.col("id").cast("string")).alias("common_name"),
+        *[F.lit(PLANT_DEFAULTS[c.name]).cast(c.dataType).alias(c.name) for c in columns],
+    )
+
+
+def numbered(spark, n, cities, plants):
+    """n selections spread over so many cities and plants."""
+    return spark.range(n).select(
+        F.concat(F.lit("c"), (F.col("id") % cities).cast("string")).alias("city"),
+        F.concat(F.lit("plant"), (F.col("id") % plants).cast("string")).alias("common_name"),
+    )
+
+
+def one_day(selection):
+    cities = selection.select("city").distinct()
+    return cities.select("city", F.lit("2026-01-10").cast("date").alias("date"), F.lit(50.0).alias("temp_max"))
+
+
+def test_a_city_with_most_selections_is_split(spark, small_skew_limits, many_plants):
+    hot = many_plants.select(F.lit("hot").alias("city"), "common_name")
+    chosen = hot.union(numbered(spark, 2000, 300, 2000))
+    got = catalogue.weekly_viability(one_day(chosen), many_plants, chosen, "2026-01-10")
+    assert "SortMergeJoin(skew=true) [city" in final_plan(got)
+    assert got.where("viable_days = 1").count() == 22000
+
+
+def test_a_plant_that_most_cities_select_is_split(spark, small_skew_limits, many_plants):
+    hot = numbered(spark, 20000, 20000, 1)
+    chosen = hot.union(numbered(spark, 2000, 2000, 1999))
+    got = catalogue.weekly_viability(one_day(chosen), many_plants, chosen, "2026-01-10")
+    assert "SortMergeJoin(skew=true) [common_name" in final_plan(got)
+    assert got.count() == chosen.distinct().count()
+
+
+def test_a_city_and_group_with_most_selections_is_split(spark, small_skew_limits, many_plants, tmp_path):
+    hot = many_plants.select(F.lit("hot").alias("city"), "common_name")
+    chosen = hot.union(numbered(spark, 2000, 300, 2000))
+    start = F.lit("2026-05-01").cast("date")
+    windows = chosen.select("city").distinct().select(
+        "city",
+        F.lit("Cool Season").alias("growing_season"),
+        F.lit("Leaf").alias("harvest_type"),
+        F.date_sub(start, 30).alias("planting_start"),
+        start.alias("outdoor_start"),
+        F.date_add(start, 60).alias("planting_end"),
+    )
+    windows.write.parquet(str(tmp_path / "windows"))
+    got = catalogue.planting_segments(many_plants, spark.read.parquet(str(tmp_path / "windows")), chosen)
+    assert "SortMergeJoin(skew=true) [city" in final_plan(got)
+    assert got.count() == 2 * 22000
+
+
+@pytest.mark.parametrize("name", ["planting_windows", "weekly_viability", "recent_weeks", "seasonal_conditions"])
+def test_registered_queries_have_no_product_joins(spark, name):
+    text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "CartesianProduct" not in text
+    assert "NestedLoop" not in text
