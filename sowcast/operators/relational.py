@@ -18,8 +18,10 @@ def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
 
 def keep_selected(df: DataFrame, selection: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys occur in a selection table, however large it is."""
-    return df.join(selection.select(*keys), list(keys), "left_semi")
+    """Rows whose string keys occur in a selection table, however large it is
+    and however often it repeats a key."""
+    wanted = shuffle_again(selection.select(*keys).distinct(), keys[0])
+    return df.join(wanted, list(keys), "left_semi")
 
 
 def keep_values(df: DataFrame, column: str, values: Sequence | None) -> DataFrame:

@@ -4,9 +4,11 @@ Every stage writes its table and reads it back, so a lost executor costs at
 most the stage that was running, and no plan grows over the whole chain.
 """
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 from sowcast.functions.calendar import AsOf
 from sowcast.operators.climate import daily_climatology, daily_data
@@ -14,7 +16,7 @@ from sowcast.operators.freeze import average_freeze_dates, freeze_by_year
 from sowcast.operators.planting import planting_calendar
 from sowcast.operators.relational import row_counts
 from sowcast.operators.weather import daily_weather, irrigation_tracker
-from sowcast.sources.payloads import read_forecast
+from sowcast.sources.payloads import read_forecast, read_history, read_sun
 from sowcast.sources.snapshots import Version, new_run_id, publish, read_published, write_version
 
 AUDITED = (
@@ -67,11 +69,16 @@ def full_rebuild(
     """
     build = _Build(spark, root)
     with ThreadPoolExecutor(max_workers=4) as pool:
-        weather = pool.submit(_put_weather, build, raw_weather, "parquet")
-        plants_table = pool.submit(build.put, "plants", plants)
-        sun_table = pool.submit(build.put, "sun_times", sun, sort_by=BY_CITY_AND_DAY)
+
+        def start(work: Callable, *args, **kwargs) -> Future:
+            # job groups and scheduler pools of the caller hold in the thread too
+            return pool.submit(inheritable_thread_target(spark)(work), *args, **kwargs)
+
+        weather = start(_put_weather, build, raw_weather, "parquet")
+        plants_table = start(build.put, "plants", plants)
+        sun_table = start(build.put, "sun_times", sun, sort_by=BY_CITY_AND_DAY)
         observed = build.put("temp_soil_historical", history)
-        freezes = pool.submit(
+        freezes = start(
             build.put,
             "avg_freeze_dates",
             average_freeze_dates(freeze_by_year(observed), as_of),
@@ -88,6 +95,26 @@ def full_rebuild(
     build.publish()
 
 
+def _replace_raw(spark: SparkSession, root: str, table: str, rows: DataFrame) -> bool:
+    if rows.isEmpty():
+        return False
+    build = _Build(spark, root)
+    build.put(table, rows, "csv")
+    build.publish()
+    return True
+
+
+def ingest_history(spark: SparkSession, root: str, landed: str, multi_line: bool = False) -> bool:
+    """Replace the history by newly landed payloads. Returns False, and changes
+    nothing, if no payload is usable."""
+    return _replace_raw(spark, root, "temp_soil_historical", read_history(spark, landed, multi_line))
+
+
+def ingest_sun(spark: SparkSession, root: str, landed: str, multi_line: bool = False) -> bool:
+    """Replace the sun times by newly landed payloads, as :func:`ingest_history` does."""
+    return _replace_raw(spark, root, "sun_times", read_sun(spark, landed, multi_line))
+
+
 def refresh_forecast(spark: SparkSession, root: str, landed: str, multi_line: bool = False) -> bool:
     """Replace raw weather and the two tables built from it by newly landed
     payloads. Returns False, and changes nothing, if no payload is usable."""

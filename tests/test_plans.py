@@ -238,6 +238,16 @@ def test_a_city_and_group_with_most_selections_is_split(spark, small_skew_limits
     assert got.count() == 2 * 22000
 
 
+def test_a_selected_city_with_most_rows_is_split(spark, small_skew_limits, tmp_path):
+    hot = spark.range(20000).select(F.lit("hot").alias("city"), "id")
+    rest = spark.range(2000).select(F.concat(F.lit("c"), (F.col("id") % 300).cast("string")).alias("city"), "id")
+    chosen = rest.union(hot).select("city")  # the selection repeats the hot city too
+    hot.union(rest).write.parquet(str(tmp_path / "all"))
+    got = relational.keep_selected(spark.read.parquet(str(tmp_path / "all")), chosen, ["city"])
+    assert "SortMergeJoin(skew=true) [city" in final_plan(got)
+    assert got.count() == 22000
+
+
 @pytest.mark.parametrize("name", ["planting_windows", "weekly_viability", "recent_weeks", "seasonal_conditions"])
 def test_registered_queries_have_no_product_joins(spark, name):
     text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))

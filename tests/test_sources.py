@@ -202,6 +202,22 @@ class TestJobs:
         assert counts() == {**built, "six_weeks_weather": 8, "irrigation_tracker": 2}
         assert rows(snapshots.read_published(spark, root, "raw_weather").select("city").distinct()) == [("Eugene",)]
 
+    def test_ingests_keep_the_old_table_if_nothing_is_usable(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        arrays = {field: [1.0] for field in payloads.HISTORY_FIELDS} | {"time": ["1940-01-01"]}
+        sun = {field: "6:00:00 AM" for field in payloads.SUN_FIELDS} | {"date": "2026-01-01"}
+        history = land(tmp_path / "history", json.dumps({"city": "Bend", "daily": arrays}))
+        suns = land(tmp_path / "sun", json.dumps({"city": "Bend", "results": [sun]}))
+        useless = land(tmp_path / "bad", "{")
+        assert jobs.ingest_history(spark, root, history) and not jobs.ingest_history(spark, root, useless)
+        assert jobs.ingest_sun(spark, root, suns) and not jobs.ingest_sun(spark, root, useless)
+        assert rows(snapshots.read_published(spark, root, "temp_soil_historical")) == [
+            (day("1940-01-01"), 1.0, 1.0, 1.0, 1.0, "Bend")
+        ]
+        assert rows(snapshots.read_published(spark, root, "sun_times"), "city", "date", "sunrise", "day_length") == [
+            ("Bend", day("2026-01-01"), "06:00:00", "6:00:00 AM")
+        ]
+
     def test_failed_rebuild_publishes_nothing(self, spark, tmp_path, inputs):
         root = str(tmp_path / "root")
         jobs.full_rebuild(spark, root, **inputs, as_of="2026-02-28")

@@ -20,31 +20,9 @@ def _eighths(price: Column) -> Column:
     return F.floor(price / 125) / F.lit(8.0)
 
 
-def _two_digits(n: Column) -> Column:
-    return F.lpad(n.cast("string"), 2, "0")
-
-
-def _parts(seconds: Column) -> tuple[Column, Column, Column]:
-    whole = seconds.cast("int")
-    minutes = F.floor(whole / 60)
-    return F.floor(whole / 3600), _two_digits(minutes % 60), _two_digits(whole % 60)
-
-
-def _clock12(seconds: Column) -> Column:
-    hour, minute, second = _parts(seconds)
-    hour12 = F.when(hour % 12 == 0, F.lit(12)).otherwise(hour % 12)
-    half = F.when(hour < 12, " AM").otherwise(" PM")
-    return F.concat(hour12.cast("string"), F.lit(":"), minute, F.lit(":"), second, half)
-
-
-def _clock24(seconds: Column) -> Column:
-    hour, minute, second = _parts(seconds)
-    return F.concat(_two_digits(hour), F.lit(":"), minute, F.lit(":"), second)
-
-
-def _duration(seconds: Column) -> Column:
-    hour, minute, second = _parts(seconds)
-    return F.concat(hour.cast("string"), F.lit(":"), minute, F.lit(":"), second)
+def _clock(seconds: Column, pattern: str) -> Column:
+    midnight = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return F.date_format(F.timestamp_add("SECOND", seconds.cast("int"), midnight), pattern)
 
 
 class Inputs:
@@ -95,8 +73,10 @@ class Inputs:
     def sun_seconds(self) -> DataFrame:
         """Sun times of one year in seconds of the day, per station and day."""
         first, last = (F.make_date(F.lit(YEAR), F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
-        # spread the stations before each becomes 365 rows
-        spread = self.stations.repartition("city")
+        # spread the stations before each becomes 365 rows; with the number given,
+        # their few bytes are not merged into one partition
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        spread = self.stations.repartition(partitions, "city")
         days = spread.withColumn("date", F.explode(F.sequence(first, last)))
         from_solstice = F.abs(F.dayofyear("date") - 172)
         rise = 21600 + from_solstice * 37 + F.col("s_nationkey") * 41
@@ -110,7 +90,7 @@ class Inputs:
             F.floor((rise + dusk) / 2).alias("solar_noon"),
             dusk.alias("sunset"),
             (dusk + 1800).alias("evening_twilight"),
-            _duration(dusk - rise).alias("day_length"),
+            _clock(dusk - rise, "H:mm:ss").alias("day_length"),
         )
 
     @cached_property
@@ -120,13 +100,13 @@ class Inputs:
         return self.sun_seconds.select(
             "city",
             F.date_format("date", "yyyy-MM-dd").alias("date"),
-            *[_clock12(F.col(c)).alias(columns[c]) for c in SUN_CLOCKS],
+            *[_clock(F.col(c), "h:mm:ss a").alias(columns[c]) for c in SUN_CLOCKS],
             "day_length",
         )
 
     @cached_property
     def sun(self) -> DataFrame:
-        clocks = [_clock24(F.col(c)).alias(c) for c in SUN_CLOCKS]
+        clocks = [_clock(F.col(c), "HH:mm:ss").alias(c) for c in SUN_CLOCKS]
         return self.sun_seconds.select("city", "date", *clocks, "day_length")
 
     @cached_property

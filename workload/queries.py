@@ -303,3 +303,17 @@ def forecast_refresh(i: Inputs) -> DataFrame:
     useless = i.forecast_payloads().select(F.translate("value", "{", "[").alias("value"))
     jobs.refresh_forecast(i.spark, root, _land(i, useless, "bad"))
     return snapshots.read_published(i.spark, root, "irrigation_tracker")
+
+
+@query
+def history_ingest(i: Inputs) -> DataFrame:
+    root = f"{scratch_dir(i.spark, 'ingest')}/tables"
+    jobs.ingest_history(i.spark, root, _land(i, i.history_payloads(), "history"))
+    return snapshots.read_published(i.spark, root, "temp_soil_historical")
+
+
+@query
+def sun_ingest(i: Inputs) -> DataFrame:
+    root = f"{scratch_dir(i.spark, 'ingest')}/tables"
+    jobs.ingest_sun(i.spark, root, _land(i, i.sun_payloads(), "sun"))
+    return snapshots.read_published(i.spark, root, "sun_times")
