@@ -18,6 +18,12 @@ def plant_groups(plants: DataFrame) -> DataFrame:
     )
 
 
+def _daily_highest(daily: DataFrame, measure: str) -> DataFrame:
+    """One row per city and day, so at most 366 per city however often the input
+    repeats a day. The highest reading decides whether a bound was passed."""
+    return daily.groupBy("city", "date").agg(F.max(measure).alias(measure))
+
+
 def outdoor_start(
     daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int = 64
 ) -> DataFrame:
@@ -42,7 +48,7 @@ def outdoor_start(
 
     earlier_days = Window.partitionBy("city").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     steps = (
-        daily.select("city", "date", soil)
+        _daily_highest(daily, "avg_shallow_soil_temp")
         .join(freeze_dates.select("city", "avg_last_freeze_all_time"), "city")
         .where((F.col("date") > F.col("avg_last_freeze_all_time")) & soil.isNotNull())
         .withColumn("warmest_before", F.max(soil).over(earlier_days))
@@ -81,9 +87,9 @@ def temperature_limit(starts: DataFrame, daily: DataFrame, groups: DataFrame) ->
     keeps only the days that count for a row.
     """
     smallest_maximum = groups.select(F.min("avg_max_viable_temp")).scalar()
-    hot_days = daily.where(F.col("avg_max_temp") > smallest_maximum).select(
-        F.col("city").alias("hot_city"), F.col("date").alias("hot_day"), "avg_max_temp"
-    )
+    hot_days = _daily_highest(
+        daily.where(F.col("avg_max_temp") > smallest_maximum), "avg_max_temp"
+    ).select(F.col("city").alias("hot_city"), F.col("date").alias("hot_day"), "avg_max_temp")
     too_hot = (
         (F.col("city") == F.col("hot_city"))
         & (F.col("hot_day") >= F.col("outdoor_start"))

@@ -57,6 +57,9 @@ def test_windows_equal_brute_force(spark, seed, buckets):
                 hot = [d for d, hi, _ in mine if d >= min(warm) and hottest is not None and hi > hottest]
                 expected.append((city, season, min(warm), min(hot, default=None)))
 
+    # one city repeats its days many times, and a few days with other readings
+    calendar = calendar + [r for r in calendar if r[0] == "city0"] * 20
+    calendar = calendar + [(c, d, hi - 5, s and s - 5) for c, d, hi, s in calendar[::7]]
     daily = spark.createDataFrame(
         [(c, d, float(hi), None if s is None else float(s)) for c, d, hi, s in calendar],
         "city STRING, date DATE, avg_max_temp DOUBLE, avg_shallow_soil_temp DOUBLE",
