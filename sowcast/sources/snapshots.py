@@ -32,7 +32,7 @@ class Version:
     def read(self, spark: SparkSession) -> DataFrame:
         if self.format == "csv":
             return read_csv(spark, self.path, self.schema)
-        return read_table(spark, self.path)
+        return read_table(spark, self.path, self.schema)
 
 
 def new_run_id() -> str:

@@ -58,5 +58,6 @@ def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     (df.sortWithinPartitions(*sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Parquet. Given a schema, no job is spent on reading file footers for it."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)

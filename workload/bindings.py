@@ -15,6 +15,16 @@ from sowcast.sources.payloads import SUN_CLOCKS, SUN_FIELDS
 AS_OF = "2001-07-15"
 YEAR = 2001
 
+# the columns used, so that no job is spent on reading file footers for a schema
+TABLES = {
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "lineitem": (
+        "l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+        "l_discount DOUBLE, l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ"
+    ),
+}
+
 
 def _eighths(price: Column) -> Column:
     return F.floor(price / 125) / F.lit(8.0)
@@ -32,7 +42,7 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def stations(self) -> DataFrame:
