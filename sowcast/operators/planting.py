@@ -18,44 +18,49 @@ def plant_groups(plants: DataFrame) -> DataFrame:
     )
 
 
-def _daily_highest(daily: DataFrame, measure: str) -> DataFrame:
-    """One row per city and day, so at most 366 per city however often the input
-    repeats a day. The highest reading decides whether a bound was passed."""
-    return daily.groupBy("city", "date").agg(F.max(measure).alias(measure))
+def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int) -> DataFrame:
+    """Outdoor start per city and group, with the city's hot days beside it.
 
-
-def outdoor_start(
-    daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int = 64
-) -> DataFrame:
-    """First day after the average last freeze whose soil is warmer than the
-    group's minimum, per city and group. Pairs without such a day have no row.
-
-    Only days on which the soil reaches a new high can be an answer, and such a
+    Only days on which the soil reaches a new high can be a start, and such a
     day answers exactly the minimums from the previous high up to its own
     temperature. So each city's days become a few disjoint temperature
     intervals, and a group falls into one of them at most. Intervals and groups
     meet by an equi-join on a temperature bucket; every pair that passes the
     bounds is a result row, so cities, days and groups are never multiplied out.
+
+    The hot days, those hotter than some group's maximum, ride along as an array
+    of at most a year's days, which saves reading the daily data a second time.
     """
     minimum = F.col("avg_min_viable_temp")
     soil = F.col("avg_shallow_soil_temp")
+    high = F.col("avg_max_temp")
     lowest = groups.select(F.min(minimum)).scalar()
     highest = groups.select(F.max(minimum)).scalar()
+    smallest_maximum = groups.select(F.min("avg_max_viable_temp")).scalar()
 
     def bucket(temp: Column) -> Column:
         share = F.try_divide(temp - lowest, highest - lowest)
         return F.coalesce(F.floor(share * F.lit(float(buckets))), F.lit(0))
 
-    earlier_days = Window.partitionBy("city").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per city and day, however often the input repeats a day: the
+    # highest reading decides whether a bound was passed.
+    days = daily.groupBy("city", "date").agg(
+        F.max(soil).alias("avg_shallow_soil_temp"), F.max(high).alias("avg_max_temp")
+    )
+    city_days = Window.partitionBy("city").orderBy("date")
+    earlier = city_days.rowsBetween(Window.unboundedPreceding, -1)
+    whole_year = city_days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     steps = (
-        _daily_highest(daily, "avg_shallow_soil_temp")
-        .join(freeze_dates.select("city", "avg_last_freeze_all_time"), "city")
-        .where((F.col("date") > F.col("avg_last_freeze_all_time")) & soil.isNotNull())
-        .withColumn("warmest_before", F.max(soil).over(earlier_days))
-        .where(F.col("warmest_before").isNull() | (soil > F.col("warmest_before")))
+        days.join(freeze_dates.select("city", "avg_last_freeze_all_time"), "city")
+        .where(F.col("date") > F.col("avg_last_freeze_all_time"))
+        .withColumn("hot", F.when(high > smallest_maximum, F.struct("date", high.alias("high"))))
+        .withColumn("warmest_before", F.max(soil).over(earlier))
+        .withColumn("hot_days", F.collect_list("hot").over(whole_year))
+        .where(soil.isNotNull() & (F.col("warmest_before").isNull() | (soil > F.col("warmest_before"))))
         .select(
             "city",
             F.col("date").alias("outdoor_start"),
+            "hot_days",
             soil.alias("step_top"),
             F.greatest(F.coalesce("warmest_before", lowest), lowest).alias("step_bottom"),
         )
@@ -65,40 +70,42 @@ def outdoor_start(
         F.explode(F.sequence(bucket(F.col("step_bottom")), bucket(F.least(F.col("step_top"), highest)))),
     )
     inside_step = (minimum >= F.col("step_bottom")) & (minimum < F.col("step_top"))
-    return (
-        covered.join(groups.withColumn("bucket", bucket(minimum)), "bucket")
-        .where(inside_step)
-        .select(
-            "city",
-            *GROUP,
-            "avg_weeks_indoor",
-            "avg_days_to_maturity",
-            "avg_max_viable_temp",
-            "outdoor_start",
-        )
-    )
+    return covered.join(groups.withColumn("bucket", bucket(minimum)), "bucket").where(inside_step)
 
 
-def temperature_limit(starts: DataFrame, daily: DataFrame, groups: DataFrame) -> DataFrame:
-    """First day, from the outdoor start on, whose mean high is above the
-    group's maximum; null if it never gets that hot.
+_START_COLUMNS = (
+    "city",
+    *GROUP,
+    "avg_weeks_indoor",
+    "avg_days_to_maturity",
+    "avg_max_viable_temp",
+    "outdoor_start",
+)
 
-    Days too cool for every group are dropped before the join, and the join
-    keeps only the days that count for a row.
+
+def outdoor_start(
+    daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int = 64
+) -> DataFrame:
+    """First day after the average last freeze whose soil is warmer than the
+    group's minimum, per city and group. Pairs without such a day have no row.
+
+    ``buckets`` only sets how finely the join divides temperatures.
     """
-    smallest_maximum = groups.select(F.min("avg_max_viable_temp")).scalar()
-    hot_days = _daily_highest(
-        daily.where(F.col("avg_max_temp") > smallest_maximum), "avg_max_temp"
-    ).select(F.col("city").alias("hot_city"), F.col("date").alias("hot_day"), "avg_max_temp")
-    too_hot = (
-        (F.col("city") == F.col("hot_city"))
-        & (F.col("hot_day") >= F.col("outdoor_start"))
-        & (F.col("avg_max_temp") > F.col("avg_max_viable_temp"))
+    return _starts(daily, freeze_dates, groups, buckets).select(*_START_COLUMNS)
+
+
+def temperature_limit(
+    daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int = 64
+) -> DataFrame:
+    """Outdoor starts with the first day, from the start on, whose mean high is
+    above the group's maximum; null if it never gets that hot."""
+    too_hot = F.filter(
+        "hot_days",
+        lambda day: (day["date"] >= F.col("outdoor_start")) & (day["high"] > F.col("avg_max_viable_temp")),
     )
-    return (
-        starts.join(hot_days, too_hot, "left")
-        .groupBy(*starts.columns)
-        .agg(F.min("hot_day").alias("temp_limit_date"))
+    first = F.array_min(F.transform(too_hot, lambda day: day["date"]))
+    return _starts(daily, freeze_dates, groups, buckets).select(
+        *_START_COLUMNS, first.alias("temp_limit_date")
     )
 
 
@@ -123,6 +130,4 @@ def planting_windows(limits: DataFrame) -> DataFrame:
 
 def planting_calendar(daily: DataFrame, freeze_dates: DataFrame, plants: DataFrame) -> DataFrame:
     """Planting windows straight from daily data, freeze dates and plants."""
-    groups = plant_groups(plants)
-    starts = outdoor_start(daily, freeze_dates, groups)
-    return planting_windows(temperature_limit(starts, daily, groups))
+    return planting_windows(temperature_limit(daily, freeze_dates, plant_groups(plants)))

@@ -133,9 +133,7 @@ GROUP = ("Warm Season", "Fruit", 6.0, 30.0, 90.0, 60.0)
 
 
 def windows_of(spark, days, freezes, *plant_groups):
-    g = groups(spark, *plant_groups)
-    starts = planting.outdoor_start(days, freezes, g)
-    return planting.planting_windows(planting.temperature_limit(starts, days, g))
+    return planting.planting_windows(planting.temperature_limit(days, freezes, groups(spark, *plant_groups)))
 
 
 class TestPlantingWindows:

@@ -76,6 +76,17 @@ def test_weekly_totals_combine_before_the_only_shuffle(stored):
     assert schema == "city:string,date:date,precipitation:double"
 
 
+def test_planting_windows_read_history_once_per_use(stored):
+    """Once for freeze dates and once for the climatology."""
+    daily, freezes = daily_and_freezes(stored)
+    text = plan(planting.planting_calendar(daily, freezes, stored["plants"]))
+    scans = re.findall(r"FileScan.*?ReadSchema: struct<(.*?)>", text)
+    assert len([s for s in scans if "temp_min" in s]) == 1
+    assert len([s for s in scans if "soil_temp_0_7cm" in s]) == 1
+    alone = plan(planting.outdoor_start(daily, freezes, planting.plant_groups(stored["plants"])))
+    assert "collect_list" not in alone and "avg(temp_max" not in alone
+
+
 def test_climatology_is_one_shuffle(stored):
     text = plan(climate.daily_climatology(stored["history"], "2026-02-28"))
     assert text.count("Exchange") == 1

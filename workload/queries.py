@@ -94,7 +94,7 @@ def outdoor_start(i: Inputs) -> DataFrame:
 
 @query
 def temp_limit(i: Inputs) -> DataFrame:
-    return planting.temperature_limit(outdoor_start(i), daily_data(i), group_params(i))
+    return planting.temperature_limit(daily_data(i), avg_freeze_dates(i), group_params(i))
 
 
 @query
