@@ -10,10 +10,14 @@ from sowcast.functions.clock import clock_time
 from sowcast.sources import schemas
 
 
+# Quotes inside values are doubled, as other CSV tools do, and blanks are kept.
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
     """CSV with a header. Columns are matched to the schema by name; without a
     schema the types are inferred, which reads the input twice."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**_CSV)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     wanted = StructType.fromDDL(schema)
@@ -49,7 +53,7 @@ def read_sun_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Replace a CSV directory. ``single_file`` is for small exports only."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:

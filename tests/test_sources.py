@@ -108,6 +108,13 @@ class TestCsv:
             (day("2026-01-01"), "06:40:10", None)
         ]
 
+    def test_texts_survive(self, spark, tmp_path):
+        texts = [(' say "red", ', 1.5), (None, -0.1), ("🐝 \\ ✓", 1e-7), ("x", None)]
+        df = spark.createDataFrame(texts, "name STRING, x DOUBLE")
+        tables.write_csv(df, str(tmp_path / "out"))
+        assert rows(tables.read_csv(spark, str(tmp_path / "out"), "name STRING, x DOUBLE")) == rows(df)
+        assert '" say ""red"", ",1.5' in "".join(f.read_text() for f in (tmp_path / "out").glob("*.csv"))
+
     def test_export_to_one_file(self, spark, tmp_path):
         df = spark.createDataFrame([("Kale", None), ("Chard, red", 2.5)], "`Plant` STRING, `Sq Ft` DOUBLE").repartition(3)
         tables.write_csv(df, str(tmp_path / "out"), single_file=True)
