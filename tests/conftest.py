@@ -10,7 +10,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPAT
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
@@ -22,6 +22,7 @@ def spark():
         .config("spark.sql.maxMetadataStringLength", "10000")  # whole lines in plan tests
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

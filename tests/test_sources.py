@@ -1,14 +1,16 @@
 """Payloads, CSV, published tables and the jobs on top of them."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from helpers import day, days_from, plants, rows, weather
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sowcast.plans import jobs
 from sowcast.sources import payloads, schemas, snapshots, tables
-from sowcast.sources.scratch import scratch_dir
+from sowcast.sources.scratch import drop_scratch, scratch_dir, scratch_root, stored
 
 
 def columnar(city, days=3, start="2026-02-02", **changes):
@@ -148,12 +150,35 @@ class TestSnapshots:
         assert rows(snapshots.read_published(spark, root, "t")) == [(0,), (2,), (4,)]
 
     def test_scratch_is_in_the_shared_folder(self, tmp_path):
-        class Session:
-            conf = {"spark.checkpoint.dir": f"{tmp_path}/shared/"}
-
-        first, second = scratch_dir(Session, "x"), scratch_dir(Session, "x")
+        session = FakeSession({"spark.checkpoint.dir": f"{tmp_path}/shared/"}, "spark://host")
+        first, second = scratch_dir(session, "x"), scratch_dir(session, "x")
         assert first != second
-        assert first.startswith(f"{tmp_path}/shared/x-")
+        assert first.startswith(f"{tmp_path}/shared/scratch-app-1/x-")
+
+    @pytest.mark.parametrize("warehouse", ["s3a://bucket/warehouse", "hdfs://name/warehouse/"])
+    def test_scratch_falls_back_to_a_shared_warehouse(self, warehouse):
+        session = FakeSession({"spark.sql.warehouse.dir": warehouse}, "yarn")
+        assert scratch_root(session) == f"{warehouse.rstrip('/')}/scratch-app-1"
+
+    def test_scratch_refuses_a_folder_that_executors_do_not_share(self):
+        local = {"spark.sql.warehouse.dir": "file:/home/user/spark-warehouse"}
+        assert scratch_root(FakeSession(local, "local[4]")).startswith("file:/home/user")
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_root(FakeSession(local, "spark://host"))
+
+    def test_scratch_can_be_dropped(self, spark):
+        table = stored(spark.range(3), "x")
+        path = table.inputFiles()[0].rsplit("/", 1)[0]
+        assert table.count() == 3
+        drop_scratch(spark, path)
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(path)
+
+
+class FakeSession:
+    def __init__(self, conf, master):
+        self.conf = conf
+        self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
 
 
 class TestJobs:
