@@ -2,14 +2,18 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sowcast.llm import decontamination, exact_dedup, sharding
+from sowcast.llm import decontamination, exact_dedup, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+#: the ranks of byte_bpe_50k.json
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def query(build: Query) -> Query:
     QUERIES[build.__name__] = build
@@ -30,6 +34,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlap_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_table(spark, sf_dir, "documents"))
