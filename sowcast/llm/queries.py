@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sowcast.llm import decontamination, exact_dedup, packing, sharding
+from sowcast.llm import decontamination, exact_dedup, packing, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +39,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+@query
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(_table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_table(spark, sf_dir, "documents"))
