@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sowcast.llm import decontamination, exact_dedup, packing, sharding, warc
+from sowcast.llm import decontamination, exact_dedup, packing, sharding, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +30,18 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(_table(spark, sf_dir, "documents"), weights=[1.0] * 16)
 
 
+def _toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
+    return toxicity.train(documents, labels, may_learn=~toxicity.is_held_out(F.col("doc_id")))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = toxicity.score(documents.select("doc_id", "text"), _toxicity_model(documents, labels))
+    doc_id = F.col("row.doc_id")
+    return scored.select(doc_id, toxicity.is_held_out(doc_id).alias("held_out"), "score", "predicted")
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlap_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
