@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sowcast.llm import decontamination, exact_dedup, packing, sharding, toxicity, warc
+from sowcast.llm import decontamination, exact_dedup, jaccard, packing, sharding, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +52,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+@query
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard.link_documents(_table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(_table(spark, sf_dir, "pages"))
