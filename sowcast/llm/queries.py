@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sowcast.llm import decontamination, exact_dedup, jaccard, packing, sharding, toxicity, warc
+from sowcast.llm import decontamination, exact_dedup, jaccard, packing, sharding, suffix_dedup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,11 @@ def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(_table(spark, sf_dir, "pages"))
 
 
+@query
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_table(spark, sf_dir, "documents"))
