@@ -286,9 +286,12 @@ def cut_words(text: str, spans: list) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def without_phrases(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **options) -> DataFrame:
+def without_phrases(
+    docs: DataFrame, benchmark: DataFrame, text_column: str = "text", length_column: str | None = None, **options
+) -> DataFrame:
     """All rows of ``docs`` with the phrases cut from their texts; rows that had
-    words and have none left go. Spans are judged on the text as it came."""
+    words and have none left go. Spans are judged on the text as it came.
+    ``length_column`` holds the text's characters and follows the cuts."""
 
     @F.udf("string", useArrow=True)
     def cut(text, spans):
@@ -298,9 +301,9 @@ def without_phrases(docs: DataFrame, benchmark: DataFrame, text_column: str = "t
     hit = F.size("spans") > 0
     left = found.withColumn("cut", cut(F.when(hit, F.col("row")[text_column]), F.when(hit, F.col("spans"))))
     whole = F.aggregate("spans", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["first"]) == F.col("n_words")
-    return left.where(~(hit & whole)).select(
-        *[
-            (F.when(hit, F.col("cut")).otherwise(F.col("row")[c]) if c == text_column else F.col("row")[c]).alias(c)
-            for c in docs.columns
-        ]
-    )
+    new = {text_column: F.col("cut"), length_column: F.char_length("cut")}
+    columns = [
+        F.when(hit, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("row")[c]) if c in new else F.col("row")[c]
+        for c in docs.columns
+    ]
+    return left.where(~(hit & whole)).select(*[column.alias(c) for c, column in zip(docs.columns, columns)])
