@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sowcast.llm import decontamination, exact_dedup, jaccard, packing, sharding, suffix_dedup, toxicity, warc
+from sowcast.llm import decontamination, exact_dedup, jaccard, packing, quality, sharding, suffix_dedup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,6 +64,13 @@ def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(_table(spark, sf_dir, "pages"))
 
 
+@query
+def op8_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.score(documents, quality.train(documents))
+    return judged.select("row.doc_id", "weak_label", "score", "predicted")
+
+
 @query
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removal_report(_table(spark, sf_dir, "documents"))
