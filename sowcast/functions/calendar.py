@@ -17,6 +17,12 @@ def as_of_date(as_of: AsOf = None) -> Column:
     return F.lit(date.fromisoformat(as_of) if isinstance(as_of, str) else as_of)
 
 
+def service_date(text: Column | str) -> Column:
+    """A date as services write it, ``2026-02-28`` or ``2/28/2026``; null if neither."""
+    forms = [F.try_to_timestamp(F.col(text) if isinstance(text, str) else text, F.lit(f)) for f in ("yyyy-MM-dd", "M/d/yyyy")]
+    return F.coalesce(*forms).cast("date")
+
+
 def week_start(day: Column | str) -> Column:
     """Monday of the week."""
     return F.trunc(day, "week")
@@ -54,8 +60,3 @@ def weekday_name(day: Column | str) -> Column:
 def long_day(day: Column | str) -> Column:
     """``February 28, 2026``"""
     return F.date_format(day, "MMMM dd, yyyy")
-
-
-def iso_day(day: Column | str) -> Column:
-    """``2026-02-28``"""
-    return F.date_format(day, "yyyy-MM-dd")

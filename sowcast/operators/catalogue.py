@@ -5,8 +5,6 @@ question is answered by equi-joins from it, so its result has as many rows as
 were selected, and plants and cities are never paired with each other.
 """
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +40,16 @@ def plant_catalogue(
         F.col("harvest_type").alias("Type"),
         sow_label("Direct", "wk").alias("Sow"),
         pollinator_icons().alias("Pollinators"),
-    ).orderBy("Plant", "Family", "Season", "Type")
+    )
 
 
-def filter_options(windows: DataFrame, plants: DataFrame) -> DataFrame:
-    """The values a user can filter by: cities with planting windows, seasons and types."""
-    lists = [
-        df.select(F.lit(column).alias("filter"), F.col(column).alias("value")).distinct()
-        for df, column in ((windows, "city"), (plants, "growing_season"), (plants, "harvest_type"))
-    ]
-    return reduce(DataFrame.unionByName, lists).orderBy("filter", "value")
+def filter_options(cities: DataFrame, plants: DataFrame) -> DataFrame:
+    """The values a user can filter by, in order: cities with planting windows (from
+    the stored windows, say), and the plants' seasons and types, read once."""
+    lists = F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).alias("value")) for c in GROUP])
+    of_plants = plants.select(F.inline(lists))
+    of_cities = cities.select(F.lit("city").alias("filter"), F.col("city").alias("value"))
+    return of_plants.union(of_cities).distinct().orderBy("filter", "value")
 
 
 def selected_plants(selection: DataFrame, plants: DataFrame) -> DataFrame:

@@ -55,12 +55,15 @@ def recent_weeks(
     days: int = 30,
     tracker_weeks: int = 5,
     enough: float = 0.5,
+    horizon: int = 7,
 ) -> DataFrame:
     """Weekly mean high and low and rainfall of the last ``days`` days.
 
     Where one of the city's latest tracker weeks matches, its whole-week
     rainfall and status are shown; other weeks are ``Unknown``. A city with no
-    tracker rows at all gets a two-way status from its own rainfall.
+    tracker rows at all gets a two-way status from its own rainfall. Tracker weeks
+    that begin ``horizon`` days or more from the as-of day on, beyond the forecast,
+    are not looked at.
     """
     today = as_of_date(as_of)
     weeks = (
@@ -75,7 +78,7 @@ def recent_weeks(
     # at most tracker_weeks entries per city, so one join on the city answers
     # both "which week matches" and "is there a tracker at all"
     tracked = (
-        latest_weeks(tracker, tracker_weeks)
+        latest_weeks(tracker.where(F.col("week_start") < F.date_add(today, horizon)), tracker_weeks)
         .groupBy("city")
         .agg(F.collect_list(F.struct("week_start", "total_rainfall", "irrigation_status")).alias("tracked"))
     )

@@ -19,7 +19,7 @@ def plant_groups(plants: DataFrame) -> DataFrame:
 
 
 def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int) -> DataFrame:
-    """Outdoor start per city and group, with the city's hot days beside it.
+    """Outdoor start per city and group, with the days from it on that set a new high.
 
     Only days on which the soil reaches a new high can be a start, and such a
     day answers exactly the minimums from the previous high up to its own
@@ -28,8 +28,12 @@ def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, bucket
     meet by an equi-join on a temperature bucket; every pair that passes the
     bounds is a result row, so cities, days and groups are never multiplied out.
 
-    The hot days, those hotter than some group's maximum, ride along as an array
-    of at most a year's days, which saves reading the daily data a second time.
+    Buckets are bounded by quantiles of the groups' minimums, so that each holds
+    about as many groups, whatever their spread.
+
+    A start's first day hotter than some maximum is one that is hotter than all days
+    before it since the start. Only such days stay, and only those between the
+    groups' lowest and highest maximum: a few per start, instead of the year.
     """
     minimum = F.col("avg_min_viable_temp")
     soil = F.col("avg_shallow_soil_temp")
@@ -37,10 +41,22 @@ def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, bucket
     lowest = groups.select(F.min(minimum)).scalar()
     highest = groups.select(F.max(minimum)).scalar()
     smallest_maximum = groups.select(F.min("avg_max_viable_temp")).scalar()
+    largest_maximum = groups.select(F.max("avg_max_viable_temp")).scalar()
+    shares = F.array(*[F.lit(n / buckets) for n in range(1, buckets)]).cast("array<double>")
+    bounds = groups.select(F.percentile_approx(minimum, shares)).scalar() if buckets > 1 else shares
 
     def bucket(temp: Column) -> Column:
-        share = F.try_divide(temp - lowest, highest - lowest)
-        return F.coalesce(F.floor(share * F.lit(float(buckets))), F.lit(0))
+        return F.size(F.filter("bounds", lambda bound: bound <= temp))
+
+    def rising(days: Column) -> Column:
+        nothing = F.array().cast("array<struct<date:date,high:double>>")
+
+        def higher(kept: Column, day: Column) -> Column:
+            top = F.get(kept, F.size(kept) - 1)["high"]
+            goes_on = top.isNull() | ((top < day["high"]) & (top <= F.col("largest_maximum")))
+            return F.when(goes_on, F.array_append(kept, day)).otherwise(kept)
+
+        return F.aggregate(days, nothing, higher)
 
     # One row per city and day, however often the input repeats a day: the
     # highest reading decides whether a bound was passed.
@@ -55,22 +71,27 @@ def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, bucket
         .where(F.col("date") > F.col("avg_last_freeze_all_time"))
         .withColumn("hot", F.when(high > smallest_maximum, F.struct("date", high.alias("high"))))
         .withColumn("warmest_before", F.max(soil).over(earlier))
-        .withColumn("hot_days", F.collect_list("hot").over(whole_year))
+        .withColumn("hot_days", F.collect_list("hot").over(whole_year))  # in the order of the window
         .where(soil.isNotNull() & (F.col("warmest_before").isNull() | (soil > F.col("warmest_before"))))
+        .withColumn("largest_maximum", largest_maximum)
         .select(
             "city",
             F.col("date").alias("outdoor_start"),
-            "hot_days",
+            rising(F.filter("hot_days", lambda day: day["date"] >= F.col("date"))).alias("new_highs"),
             soil.alias("step_top"),
             F.greatest(F.coalesce("warmest_before", lowest), lowest).alias("step_bottom"),
         )
     )
-    covered = steps.where(F.col("step_bottom") <= F.least(F.col("step_top"), highest)).withColumn(
-        "bucket",
-        F.explode(F.sequence(bucket(F.col("step_bottom")), bucket(F.least(F.col("step_top"), highest)))),
+    covered = (
+        steps.where(F.col("step_bottom") <= F.least(F.col("step_top"), highest))
+        .withColumn("top", F.least(F.col("step_top"), highest))
+        .withColumn("bounds", bounds)
+        .withColumn("bucket", F.explode(F.sequence(bucket(F.col("step_bottom")), bucket(F.col("top")))))
+        .drop("top", "bounds")
     )
+    dealt = groups.withColumn("bounds", bounds).withColumn("bucket", bucket(minimum)).drop("bounds")
     inside_step = (minimum >= F.col("step_bottom")) & (minimum < F.col("step_top"))
-    return covered.join(groups.withColumn("bucket", bucket(minimum)), "bucket").where(inside_step)
+    return covered.join(dealt, "bucket").where(inside_step)
 
 
 _START_COLUMNS = (
@@ -99,11 +120,8 @@ def temperature_limit(
 ) -> DataFrame:
     """Outdoor starts with the first day, from the start on, whose mean high is
     above the group's maximum; null if it never gets that hot."""
-    too_hot = F.filter(
-        "hot_days",
-        lambda day: (day["date"] >= F.col("outdoor_start")) & (day["high"] > F.col("avg_max_viable_temp")),
-    )
-    first = F.array_min(F.transform(too_hot, lambda day: day["date"]))
+    too_hot = F.filter("new_highs", lambda day: day["high"] > F.col("avg_max_viable_temp"))
+    first = F.get(too_hot, F.lit(0))["date"]
     return _starts(daily, freeze_dates, groups, buckets).select(
         *_START_COLUMNS, first.alias("temp_limit_date")
     )
@@ -128,6 +146,18 @@ def planting_windows(limits: DataFrame) -> DataFrame:
     )
 
 
+def cities_with_windows(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame) -> DataFrame:
+    """Cities in which some group can be planted, without computing any window: the
+    soil gets warmer after the last freeze than the least demanding group needs."""
+    lowest = groups.select(F.min("avg_min_viable_temp")).scalar()
+    return (
+        daily.join(freeze_dates.select("city", "avg_last_freeze_all_time"), "city")
+        .where((F.col("date") > F.col("avg_last_freeze_all_time")) & (F.col("avg_shallow_soil_temp") > lowest))
+        .select("city")
+        .distinct()
+    )
+
+
 def planting_calendar(daily: DataFrame, freeze_dates: DataFrame, plants: DataFrame) -> DataFrame:
     """Planting windows straight from daily data, freeze dates and plants."""
     return planting_windows(temperature_limit(daily, freeze_dates, plant_groups(plants)))

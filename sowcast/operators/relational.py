@@ -45,10 +45,6 @@ def shuffle_again(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.concat(F.col(key), F.lit("")))
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).distinct().orderBy(column)
-
-
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table with its number of rows."""
     counts = [
@@ -58,7 +54,26 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def select_plants(cities: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The pairs (city, common_name) for a short list of plant names picked by a user."""
+def select_plants(known: DataFrame, cities: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The pairs (city, common_name) for the few cities and plants that a user picked,
+    as far as the cities are known."""
     picked = F.array(*[F.lit(n) for n in names])
-    return cities.select("city").distinct().withColumn("common_name", F.explode(picked))
+    asked = keep_values(known, "city", cities).select("city").distinct()
+    return asked.withColumn("common_name", F.explode(picked))
+
+
+#: How people read each dataset. Jobs that go on to join or write need not sort.
+DISPLAY_ORDER = {
+    "recent_weeks": ("city", "week_start"),
+    "forecast": ("city", "date"),
+    "seasonal_conditions": ("city", "date"),
+    "plant_catalogue": ("Plant", "Family", "Season", "Type"),
+    "weekly_viability": ("city", "common_name"),
+    "planting_segments": ("city", "season", "task", "start"),
+    "planting_export": ("city", "Plant", "Season", "Type"),
+}
+
+
+def for_display(df: DataFrame, dataset: str) -> DataFrame:
+    """The dataset in the order in which it is shown."""
+    return df.orderBy(*DISPLAY_ORDER[dataset])

@@ -17,7 +17,7 @@ from sowcast.operators.planting import planting_calendar
 from sowcast.operators.relational import row_counts
 from sowcast.operators.weather import daily_weather, irrigation_tracker
 from sowcast.sources.payloads import read_forecast, read_history, read_sun
-from sowcast.sources.snapshots import Version, new_run_id, publish, read_published, write_version
+from sowcast.sources.snapshots import Version, new_run_id, publish, read_all_published, write_version
 
 AUDITED = (
     "six_weeks_weather",
@@ -30,6 +30,10 @@ AUDITED = (
 )
 BY_CITY_AND_DAY = ("city", "date")
 
+# What ingests land for the next rebuild, under names of their own: the tables that
+# users read change with those built from them.
+LANDED_HISTORY, LANDED_SUN = "landed_history", "landed_sun"
+
 
 class _Build:
     """Collects the table versions that one run writes, to publish them together."""
@@ -105,14 +109,21 @@ def _replace_raw(spark: SparkSession, root: str, table: str, rows: DataFrame) ->
 
 
 def ingest_history(spark: SparkSession, root: str, landed: str, multi_line: bool = False) -> bool:
-    """Replace the history by newly landed payloads. Returns False, and changes
-    nothing, if no payload is usable."""
-    return _replace_raw(spark, root, "temp_soil_historical", read_history(spark, landed, multi_line))
+    """Replace the history that the next rebuild starts from by newly landed payloads.
+    Returns False, and changes nothing, if no payload is usable."""
+    return _replace_raw(spark, root, LANDED_HISTORY, read_history(spark, landed, multi_line))
 
 
 def ingest_sun(spark: SparkSession, root: str, landed: str, multi_line: bool = False) -> bool:
-    """Replace the sun times by newly landed payloads, as :func:`ingest_history` does."""
-    return _replace_raw(spark, root, "sun_times", read_sun(spark, landed, multi_line))
+    """Replace the landed sun times by newly landed payloads, as :func:`ingest_history` does."""
+    return _replace_raw(spark, root, LANDED_SUN, read_sun(spark, landed, multi_line))
+
+
+def rebuild_from_landed(spark: SparkSession, root: str, plants: DataFrame, as_of: AsOf = None) -> None:
+    """A full rebuild from what forecast refreshes and ingests have landed under the
+    root, as it stands at the start, and the plants."""
+    landed = read_all_published(spark, root, ["raw_weather", LANDED_HISTORY, LANDED_SUN])
+    full_rebuild(spark, root, landed["raw_weather"], landed[LANDED_HISTORY], landed[LANDED_SUN], plants, as_of)
 
 
 def refresh_forecast(spark: SparkSession, root: str, landed: str, multi_line: bool = False) -> bool:
@@ -128,5 +139,5 @@ def refresh_forecast(spark: SparkSession, root: str, landed: str, multi_line: bo
 
 
 def build_audit(spark: SparkSession, root: str) -> DataFrame:
-    """Number of rows of each published table that users query."""
-    return row_counts({table: read_published(spark, root, table) for table in AUDITED})
+    """Number of rows of each published table that users query, at one moment."""
+    return row_counts(read_all_published(spark, root, AUDITED))

@@ -8,6 +8,7 @@ of records. A payload that cannot be used drops its own records and no others.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sowcast.functions.calendar import service_date
 from sowcast.functions.clock import from_twelve_hour
 
 # The services' field names, and the columns they become.
@@ -97,18 +98,32 @@ def read_history(spark: SparkSession, path: str | list[str], multi_line: bool =
     return read_columnar(spark, path, HISTORY_FIELDS, multi_line)
 
 
-def read_sun(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """Sun times per station and day, converted from 12-hour to 24-hour text."""
+def _sun_payloads(spark: SparkSession, path: str | list[str], multi_line: bool) -> tuple[DataFrame, Column]:
     record = ", ".join(f"{f}: STRING" for f in SUN_FIELDS)
     payloads = _read_json(spark, path, f"city STRING, results ARRAY<STRUCT<{record}>>", multi_line)
-    days = (
-        payloads.where(F.col(_CORRUPT).isNull() & F.col("results").isNotNull())
-        .select("city", F.inline("results"))
-        .withColumnsRenamed(SUN_FIELDS)
-    )
+    return payloads, F.col(_CORRUPT).isNull() & F.col("city").isNotNull() & F.col("results").isNotNull()
+
+
+def read_sun(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Sun times per station and day, converted from 12-hour to 24-hour text.
+
+    Dates may be written month first. A time that cannot be read is null; a record
+    without a readable date, and a payload without station or records, is skipped.
+    """
+    payloads, usable = _sun_payloads(spark, path, multi_line)
+    days = payloads.where(usable).select("city", F.inline("results")).withColumnsRenamed(SUN_FIELDS)
     return days.select(
         "city",
-        F.to_date("date").alias("date"),
+        service_date("date").alias("date"),
         *[from_twelve_hour(c).alias(c) for c in SUN_CLOCKS],
         "day_length",
-    )
+    ).where(F.col("date").isNotNull())
+
+
+def skipped_sun(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """What :func:`read_sun` skips: a row per payload, or per record without a date."""
+    payloads, usable = _sun_payloads(spark, path, multi_line)
+    reason = F.when(F.col(_CORRUPT).isNotNull(), "malformed").otherwise("no station or records")
+    records = payloads.where(usable).select("city", F.explode("results.date").alias("date"))
+    undated = records.where(service_date("date").isNull()).select("city", F.lit("no date").alias("reason"))
+    return payloads.where(~usable).select("city", reason.alias("reason")).union(undated)

@@ -3,10 +3,11 @@
 A new version of a table is written beside the old one and becomes visible only
 when a line naming it is added to the root's publish log. Several tables
 published together appear together, since their lines share one file, and a
-reader sees either all of the old or all of the new version. A job that fails
-before publishing leaves what readers see unchanged.
+reader who resolves several tables at once sees either all of the old or all of the
+new versions. A job that fails before publishing leaves what readers see unchanged.
 """
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -65,18 +66,44 @@ def publish(spark: SparkSession, root: str, versions: Sequence[Version]) -> None
     """Show these versions to readers, all at once."""
     log = _log(spark, root)
     last = log.agg(F.max("sequence")).first()[0] if log is not None else None
-    lines = [((last or 0) + 1, v.table, v.format, v.schema, v.path) for v in versions]
+    # by the clock, so that two publishers do not take the same number
+    sequence = max((last or 0) + 1, time.time_ns())
+    _append(spark, root, [(sequence, v.table, v.format, v.schema, v.path) for v in versions])
+
+
+def _append(spark: SparkSession, root: str, lines: list[tuple]) -> None:
     spark.createDataFrame(lines, _LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_published")
 
 
+def _newest(log: DataFrame) -> DataFrame:
+    latest = F.max(F.struct("sequence", "path", "format", "schema")).alias("v")
+    return log.groupBy("table_name").agg(latest).select("table_name", "v.*")
+
+
+def read_all_published(spark: SparkSession, root: str, tables: Sequence[str]) -> dict[str, DataFrame]:
+    """The versions of several tables that were current at one moment."""
+    log = _log(spark, root)
+    wanted = _newest(log.where(F.col("table_name").isin(list(tables)))).collect() if log is not None else []
+    found = {r.table_name: Version(r.table_name, r.path, r.format, r.schema) for r in wanted}
+    if missing := [t for t in tables if t not in found]:
+        raise LookupError(f"no published version of {', '.join(missing)} under {root}")
+    return {t: found[t].read(spark) for t in tables}
+
+
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The version of a table that was published last."""
+    return read_all_published(spark, root, [table])[table]
+
+
+def compact_log(spark: SparkSession, root: str) -> None:
+    """Replace the log's files by one with the current versions. Files that are
+    published meanwhile stay; run it while no job is starting to read."""
     log = _log(spark, root)
-    newest = (
-        log.where(F.col("table_name") == table).orderBy(F.desc("sequence"), F.desc("path")).first()
-        if log is not None
-        else None
-    )
-    if newest is None:
-        raise LookupError(f"no published version of {table} under {root}")
-    return Version(table, newest["path"], newest["format"], newest["schema"]).read(spark)
+    if log is None:
+        return
+    files = log.inputFiles()
+    lines = [(r.sequence, r.table_name, r.format, r.schema, r.path) for r in _newest(log).collect()]
+    _append(spark, root, lines)
+    for file in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)

@@ -1,30 +1,86 @@
-"""CSV and Parquet tables."""
+"""CSV and Parquet tables.
+
+CSV columns are matched by name. Files whose header differs from that of the others
+are refused, or read by their own headers where ``mixed_headers`` is asked for. One
+line is one record, so that large files can be split; values with line breaks are
+refused by the writer and read only where ``multi_line`` is asked for, which reads
+each file in one task. A value that its column's type cannot hold is null, and
+:func:`unreadable_rows` tells which rows have some.
+"""
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from sowcast.functions.calendar import service_date
 from sowcast.functions.clock import clock_time
 from sowcast.sources import schemas
 
 
 # Quotes inside values are doubled, as other CSV tools do, and blanks are kept.
+_CORRUPT = "_corrupt_record"
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
+def _with_schema(
+    spark: SparkSession, path: str | list[str], schema: str, multi_line: bool, header: Sequence[str] | None = None
+) -> DataFrame:
+    """All columns that the schema names, and the lines that do not fit it."""
+    reader = spark.read.options(**_CSV, multiLine=multi_line)
+    types = {f.name: f.dataType for f in StructType.fromDDL(schema)}
+    names = reader.csv(path).columns if header is None else header
+    # Spark matches CSV columns by position, so take the order from the header line
+    in_file_order = [StructField(name, types.get(name, StringType())) for name in names]
+    columns = StructType([*in_file_order, StructField(_CORRUPT, StringType())])
+    options = {"enforceSchema": False, "columnNameOfCorruptRecord": _CORRUPT}
+    return reader.options(**options).schema(columns).csv(path).select(*types, _CORRUPT)
+
+
+def _by_header(spark: SparkSession, path: str | list[str], schema: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header: lines that name all columns are headers. Reads the
+    input once more; the driver sees a line per file."""
+    wanted = StructType.fromDDL(schema).names
+    cells = F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), cells.alias("cells"))
+    has_all = F.size(F.array_intersect("cells", F.array(*[F.lit(n) for n in wanted]))) == len(wanted)
+    files: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.where(has_all).groupBy("file").agg(F.first("cells").alias("cells")).collect():
+        files.setdefault(tuple(row.cells), []).append(row.file)
+    return files
+
+
+def _csv_rows(spark: SparkSession, path: str | list[str], schema: str, multi_line: bool, mixed_headers: bool) -> DataFrame:
+    if not mixed_headers:
+        return _with_schema(spark, path, schema, multi_line)
+    files = sorted(_by_header(spark, path, schema).items())
+    return reduce(DataFrame.union, [_with_schema(spark, f, schema, multi_line, h) for h, f in files])
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str | None = None,
+    multi_line: bool = False,
+    mixed_headers: bool = False,
+) -> DataFrame:
     """CSV with a header. Columns are matched to the schema by name; without a
     schema the types are inferred, which reads the input twice."""
-    reader = spark.read.options(**_CSV)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    wanted = StructType.fromDDL(schema)
-    types = {f.name: f.dataType for f in wanted}
-    # Spark matches CSV columns by position, so take the order from the header line
-    in_file_order = [StructField(name, types.get(name, StringType())) for name in reader.csv(path).columns]
-    return reader.schema(StructType(in_file_order)).csv(path).select(*wanted.names)
+        return spark.read.options(**_CSV, inferSchema=True, enforceSchema=False, multiLine=multi_line).csv(path)
+    return _csv_rows(spark, path, schema, multi_line, mixed_headers).drop(_CORRUPT)
+
+
+def unreadable_rows(
+    spark: SparkSession, path: str | list[str], schema: str, multi_line: bool = False, mixed_headers: bool = False
+) -> DataFrame:
+    """The rows of which :func:`read_csv` reads some value as null, with their ``line``."""
+    rows = _csv_rows(spark, path, schema, multi_line, mixed_headers)
+    # values are checked when they are parsed, so ask for all, whatever the caller wants
+    parsed = F.length(F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns])) >= 0
+    return rows.where(F.col(_CORRUPT).isNotNull() & parsed).withColumnRenamed(_CORRUPT, "line")
 
 
 def read_weather_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -44,18 +100,32 @@ def read_sun_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     clocks = ("sunrise", "sunset", "morning_twilight", "evening_twilight")
     return read_csv(spark, path, schemas.SUN_TIMES).select(
         "city",
-        F.to_date("date").alias("date"),
+        service_date("date").alias("date"),
         *[clock_time(c).alias(c) for c in clocks],
         "solar_noon",
         "day_length",
     )
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Replace a CSV directory. ``single_file`` is for small exports only."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False, multi_line: bool = False) -> None:
+    """Replace a CSV directory. ``single_file`` is for small exports only. Fails on
+    text with line breaks unless ``multi_line`` says that readers can cope."""
+    if not multi_line:
+        df = df.select(
+            *[
+                _one_line(f.name).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")
+                for f in df.schema
+            ]
+        )
     (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**_CSV).csv(path)
 
 
+def _one_line(name: str) -> Column:
+    text = F.col(f"`{name}`")
+    refused = F.raise_error(F.lit(f"a line break in {name}: write and read it with multi_line"))
+    return F.when(text.rlike("[\r\n]"), refused.cast("string")).otherwise(text)
+
+
 def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table. Sorting inside the files lets later reads skip
     row groups by city and date; it needs no shuffle."""

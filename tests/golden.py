@@ -1,86 +1,72 @@
-"""37 observed days of two cities, and results that are known for them."""
+"""Invented readings of 37 days in two cities, and results computed from them by hand
+and with an SQL engine.
 
-FIRST_DAY = "2026-01-29"
-AS_OF = "2026-02-28"
+Readings follow a rule, but for a few that make cases: a mean that ends in 5 at the
+second decimal, a week of exactly one inch, a half-degree high, and (by the dates) a
+first week of which only a part lies in the last 30 days.
+"""
 
-HIGHS = {
-    "Portland": [
-        50.6, 48.5, 57.6, 55.7, 54.3, 56.0, 57.4, 57.1, 56.2, 51.7, 51.5, 52.1, 53.5, 55.4, 54.5, 48.4, 47.0, 48.7,
-        44.3, 42.7, 41.4, 42.9, 46.1, 43.7, 49.3, 48.4, 45.3, 50.4, 52.4, 53.8, 55.4, 59.1, 61.1, 56.9, 50.5, 47.2,
-        55.6,
-    ],
-    "Bend": [
-        46.1, 55.8, 56.9, 53.5, 56.7, 58.0, 64.0, 52.4, 61.3, 54.1, 45.2, 46.1, 49.2, 42.3, 53.9, 47.6, 47.1, 48.8,
-        43.3, 36.8, 35.1, 34.5, 39.5, 45.4, 54.9, 52.6, 49.5, 49.8, 52.4, 61.1, 58.7, 46.0, 56.6, 54.3, 44.4, 44.7,
-        46.5,
-    ],
-}
-LOWS = {
-    "Portland": [
-        43.9, 43.1, 44.7, 44.9, 44.2, 41.2, 43.2, 37.6, 38.4, 42.4, 45.7, 41.2, 38.9, 37.9, 36.0, 42.3, 38.7, 40.7,
-        36.2, 35.9, 34.3, 34.7, 34.1, 38.4, 41.8, 40.3, 40.5, 35.8, 35.6, 34.3, 38.0, 45.2, 42.3, 45.7, 45.9, 43.8,
-        42.4,
-    ],
-    "Bend": [
-        36.0, 36.9, 36.8, 32.1, 28.7, 31.5, 34.4, 26.2, 27.0, 35.3, 35.0, 26.6, 23.2, 28.5, 27.8, 26.3, 33.3, 33.8,
-        25.3, 24.3, 22.1, 24.4, 20.0, 29.4, 31.7, 38.6, 36.9, 30.2, 25.3, 28.2, 32.4, 37.9, 42.8, 38.6, 35.1, 31.8,
-        32.1,
-    ],
-}
-RAIN = {
-    "Portland": [
-        0.236, 0.106, 0.0, 0.201, 0.0, 0.0, 0.0, 0.0, 0.0, 0.319, 0.799, 0.02, 0.0, 0.0, 0.0, 0.091, 0.028, 0.039,
-        0.228, 0.091, 0.177, 0.11, 0.0, 0.232, 0.311, 0.78, 0.22, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.031, 0.504, 0.0,
-        0.0,
-    ],
-    "Bend": [
-        0.004, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.004, 0.079, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.008,
-        0.0, 0.0, 0.0, 0.0, 0.0, 0.031, 0.248, 0.0, 0.0, 0.0, 0.022, 0.238, 0.0, 0.0, 0.059, 0.0, 0.0,
-    ],
-}
+FIRST_DAY = "2027-03-04"
+AS_OF = "2027-04-03"
+CITIES = ("Alder", "Birch")
+
+
+def _readings(city: int) -> tuple[list[float], list[float], list[float]]:
+    days = range(37)
+    highs = [(460 + 25 * city + (37 * d + 11 * city) % 97 + 3 * d) / 10 for d in days]
+    lows = [(250 + 60 * city + (53 * d + 29 * city) % 113 + 2 * d) / 10 for d in days]
+    rain = [(71 * d + 130 * city) % 400 / 1000 if (5 * d + city) % 3 == 0 else 0.0 for d in days]
+    if city == 0:
+        highs[5], lows[5] = 41.2, 29.9
+        highs[31] = 58.5
+        rain[25:32] = [0.3, 0.0, 0.1, 0.25, 0.05, 0.2, 0.1]
+    return highs, lows, rain
+
+
+HIGHS, LOWS, RAIN = ({c: _readings(n)[k] for n, c in enumerate(CITIES)} for k in range(3))
 
 NO, LIGHT, YES = "No irrigation needed", "Light irrigation needed", "Irrigation needed"
 
 TRACKER = [
-    ("Bend", "2026-01-26", 0.004, -0.996, YES),
-    ("Bend", "2026-02-02", 0.083, -0.917, YES),
-    ("Bend", "2026-02-09", 0.0, -1.0, YES),
-    ("Bend", "2026-02-16", 0.008, -0.992, YES),
-    ("Bend", "2026-02-23", 0.539, -0.461, LIGHT),
-    ("Bend", "2026-03-02", 0.059, -0.941, YES),
-    ("Portland", "2026-01-26", 0.543, -0.457, LIGHT),
-    ("Portland", "2026-02-02", 1.118, 0.118, NO),
-    ("Portland", "2026-02-09", 0.178, -0.822, YES),
-    ("Portland", "2026-02-16", 1.149, 0.149, NO),
-    ("Portland", "2026-02-23", 1.0, 0.0, NO),
-    ("Portland", "2026-03-02", 0.535, -0.465, LIGHT),
+    ("Alder", "2027-03-01", 0.213, -0.787, YES),
+    ("Alder", "2027-03-08", 0.265, -0.735, YES),
+    ("Alder", "2027-03-15", 0.317, -0.683, YES),
+    ("Alder", "2027-03-22", 0.473, -0.527, YES),
+    ("Alder", "2027-03-29", 1.0, 0.0, NO),
+    ("Alder", "2027-04-05", 0.499, -0.501, YES),
+    ("Birch", "2027-03-01", 0.201, -0.799, YES),
+    ("Birch", "2027-03-08", 0.281, -0.719, YES),
+    ("Birch", "2027-03-15", 0.319, -0.681, YES),
+    ("Birch", "2027-03-22", 0.371, -0.629, YES),
+    ("Birch", "2027-03-29", 0.754, -0.246, LIGHT),
+    ("Birch", "2027-04-05", 0.144, -0.856, YES),
 ]
 
 RECENT_WEEKS = [
-    ("Bend", "2026-01-26", 53.1, 35.4, 0.0, "Unknown"),
-    ("Bend", "2026-02-02", 56.0, 31.2, 0.083, YES),
-    ("Bend", "2026-02-09", 47.9, 28.5, 0.0, YES),
-    ("Bend", "2026-02-16", 41.4, 25.3, 0.008, YES),
-    ("Bend", "2026-02-23", 53.1, 31.8, 0.539, LIGHT),
-    ("Portland", "2026-01-26", 53.1, 44.2, 0.54, "Unknown"),
-    ("Portland", "2026-02-02", 54.9, 41.8, 1.118, NO),
-    ("Portland", "2026-02-09", 51.4, 39.4, 0.178, YES),
-    ("Portland", "2026-02-16", 44.3, 36.5, 1.149, NO),
-    ("Portland", "2026-02-23", 50.1, 37.3, 1.0, NO),
+    ("Alder", "2027-03-01", 49.6, 30.4, 0.21, "Unknown"),
+    ("Alder", "2027-03-08", 51.1, 32.8, 0.265, YES),
+    ("Alder", "2027-03-15", 54.9, 32.6, 0.317, YES),
+    ("Alder", "2027-03-22", 56.6, 35.6, 0.473, YES),
+    ("Alder", "2027-03-29", 58.9, 35.6, 1.0, NO),
+    ("Birch", "2027-03-01", 53.2, 36.5, 0.2, "Unknown"),
+    ("Birch", "2027-03-08", 55.4, 36.9, 0.281, YES),
+    ("Birch", "2027-03-15", 57.1, 39.9, 0.319, YES),
+    ("Birch", "2027-03-22", 60.2, 39.6, 0.371, YES),
+    ("Birch", "2027-03-29", 60.6, 44.5, 0.754, LIGHT),
 ]
 
-PORTLAND_FORECAST = [
-    ("2026-02-28", 55.0, 38.0, 0.0),
-    ("2026-03-01", 59.0, 45.0, 0.0),
-    ("2026-03-02", 61.0, 42.0, 0.0),
-    ("2026-03-03", 57.0, 46.0, 0.03),
-    ("2026-03-04", 50.0, 46.0, 0.5),
-    ("2026-03-05", 47.0, 44.0, 0.0),
-    ("2026-03-06", 56.0, 42.0, 0.0),
+ALDER_FORECAST = [
+    ("2027-04-03", 59.0, 32.0, 0.2),
+    ("2027-04-04", 58.0, 37.0, 0.1),
+    ("2027-04-05", 58.0, 32.0, 0.0),
+    ("2027-04-06", 62.0, 37.0, 0.34),
+    ("2027-04-07", 66.0, 42.0, 0.0),
+    ("2027-04-08", 60.0, 37.0, 0.0),
+    ("2027-04-09", 64.0, 42.0, 0.16),
 ]
 
 # (low bound, high bound) of a plant's band -> viable days of the next 7
 VIABLE_DAYS = {
-    "Portland": {(45, 55): 2, (50, 60): 5, (55, 85): 5},
-    "Bend": {(45, 55): 3, (50, 60): 3, (55, 85): 2},
+    "Alder": {(45, 55): 0, (50, 60): 4, (55, 85): 7},
+    "Birch": {(45, 55): 0, (50, 60): 1, (55, 85): 7},
 }

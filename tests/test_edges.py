@@ -299,7 +299,8 @@ class TestPlants:
             {"common_name": "b", "growing_season": "Warm Season", "attracts_bees": True},
             {"common_name": "c", "harvest_type": "Root", "attracts_butterflies": True},
         )
-        assert [r.Plant for r in catalogue.plant_catalogue(table, **filters).collect()] == names
+        got = relational.for_display(catalogue.plant_catalogue(table, **filters), "plant_catalogue")
+        assert [r.Plant for r in got.collect()] == names
 
     def test_viability_bounds_repeats_and_missing_forecasts(self, spark):
         raw = weather(
@@ -354,7 +355,7 @@ class TestPlants:
             ("Bend", "Kale", "4 weeks indoor", april),
             ("Eugene", "Kale", "4 weeks indoor", may),
         ]
-        assert rows(catalogue.filter_options(windows, table)) == [
+        assert [tuple(r) for r in catalogue.filter_options(windows, table).collect()] == [
             ("city", "Bend"),
             ("city", "Eugene"),
             ("growing_season", "Cool Season"),
@@ -364,11 +365,18 @@ class TestPlants:
 
 
 class TestRelational:
-    def test_select_plants_for_every_city(self, spark):
-        cities = spark.createDataFrame([("Bend",), ("Eugene",), ("Bend",)], "city STRING")
-        got = relational.select_plants(cities, ["Kale", "Chard"])
+    def test_select_plants_for_the_cities_asked_for(self, spark):
+        cities = spark.createDataFrame([("Bend",), ("Eugene",), ("Bend",), ("Salem",)], "city STRING")
+        got = relational.select_plants(cities, ["Bend", "Eugene", "Nowhere"], ["Kale", "Chard"])
         assert rows(got) == [("Bend", "Chard"), ("Bend", "Kale"), ("Eugene", "Chard"), ("Eugene", "Kale")]
 
+    @pytest.mark.parametrize("dataset", relational.DISPLAY_ORDER)
+    def test_display_order(self, spark, dataset):
+        keys = relational.DISPLAY_ORDER[dataset]
+        df = spark.range(64).select(*[F.pmod(F.xxhash64("id", F.lit(n)), F.lit(5)).alias(k) for n, k in enumerate(keys)])
+        shown = [tuple(r) for r in relational.for_display(df, dataset).collect()]
+        assert shown == sorted(shown) and len(set(shown)) > 4
+
     def test_small_helpers(self, spark):
         df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k STRING, v INT")
         assert rows(relational.top_n_per_key(df, ["k"], [F.desc("v")], 1)) == [("a", 2), ("b", 3)]
@@ -376,5 +384,4 @@ class TestRelational:
         assert rows(relational.keep_values(df, "k", None)) == rows(df)
         assert rows(relational.keep_where(df, None, F.col("v") > 1, F.col("k") == "a")) == [("a", 2)]
         assert rows(relational.keep_where(df, None)) == rows(df)
-        assert [r.k for r in relational.distinct_values(df, "k").collect()] == ["a", "b"]
         assert rows(relational.row_counts({"x": df, "y": df.limit(0)})) == [("x", 3), ("y", 0)]

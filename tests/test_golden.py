@@ -1,4 +1,4 @@
-"""Known results for observed weather, from landed payloads to the datasets."""
+"""Known results for invented weather, from landed payloads to the datasets."""
 
 import json
 
@@ -32,8 +32,8 @@ def daily(spark, tmp_path_factory):
 def test_temp_avg_rounds_the_scaled_double(daily):
     averages = {(r.city, str(r.date)): r.temp_avg for r in daily.collect()}
     assert len(averages) == 74
-    assert averages["Bend", "2026-02-17"] == 30.6  # decimal rounding would give 30.5
-    assert averages["Portland", "2026-01-29"] == 47.3
+    assert averages["Alder", "2027-03-09"] == 35.6  # decimal rounding would give 35.5
+    assert averages["Alder", "2027-03-04"] == 35.5
 
 
 def test_irrigation_tracker(daily):
@@ -54,7 +54,7 @@ def test_weekly_totals_add_up_to_the_days(daily):
 
 
 def test_latest_weeks_include_future_ones(daily):
-    weeks = rows(latest_weeks(irrigation_tracker(daily)).where("city = 'Bend'"), "week_start")
+    weeks = rows(latest_weeks(irrigation_tracker(daily)).where("city = 'Alder'"), "week_start")
     assert weeks == [(day(w),) for _, w, *_ in golden.TRACKER[1:6]]
 
 
@@ -73,22 +73,22 @@ def test_recent_weeks(daily):
         == golden.RECENT_WEEKS
     )
     flags = {(r.city, str(r.week_start)): (r.week_label, r.is_needed, r.flag) for r in got.collect()}
-    assert flags["Bend", "2026-02-02"] == ("Feb 02", True, "Needed")
-    assert flags["Bend", "2026-01-26"] == ("Jan 26", False, "OK ✓")
-    assert flags["Portland", "2026-02-23"] == ("Feb 23", False, "OK ✓")
+    assert flags["Alder", "2027-03-08"] == ("Mar 08", True, "Needed")
+    assert flags["Alder", "2027-03-01"] == ("Mar 01", False, "OK ✓")
+    assert flags["Birch", "2027-03-29"] == ("Mar 29", True, "Needed")
 
 
 def test_forecast(daily):
-    got = forecast(daily, golden.AS_OF).where("city = 'Portland'")
-    assert rows(got, F.col("date").cast("string"), "temp_max", "temp_min", "precipitation") == golden.PORTLAND_FORECAST
+    got = forecast(daily, golden.AS_OF).where("city = 'Alder'")
+    assert rows(got, F.col("date").cast("string"), "temp_max", "temp_min", "precipitation") == golden.ALDER_FORECAST
     labels = {str(r.date): (r.date_label, r.high_label, r.low_label, r.rain_label) for r in got.collect()}
-    assert labels["2026-02-28"] == ("Feb 28", "55°", "38°", "☁ —")
-    assert labels["2026-03-04"] == ("Mar 04", "50°", "46°", '🌧 0.50"')
-    assert rows(forecast_range(got)) == [("Portland", 38.0, 61.0)]
+    assert labels["2027-04-07"] == ("Apr 07", "66°", "42°", "☁ —")
+    assert labels["2027-04-04"] == ("Apr 04", "58°", "37°", '🌧 0.10"')
+    assert rows(forecast_range(got)) == [("Alder", 32.0, 66.0)]
 
 
 def test_weekly_viability(spark, daily):
-    bands = list(golden.VIABLE_DAYS["Portland"])
+    bands = list(golden.VIABLE_DAYS["Alder"])
     catalogue = plants(
         spark,
         *[
@@ -110,5 +110,5 @@ def test_weekly_viability(spark, daily):
 
 def test_last_freeze_needs_an_autumn(daily):
     assert freeze_by_year(daily).isEmpty()
-    bend = daily.where("city = 'Bend' AND temp_min <= 32").agg(F.max("date")).first()[0]
-    assert bend == day("2026-03-05")
+    last = daily.where("city = 'Alder' AND temp_min <= 32").agg(F.max("date")).first()[0]
+    assert last == day("2027-04-05")

@@ -76,6 +76,37 @@ def test_weekly_totals_combine_before_the_only_shuffle(stored):
     assert schema == "city:string,date:date,precipitation:double"
 
 
+def joined_columns(df):
+    """The names of all columns that go into some join."""
+    names, todo = set(), [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(n) for n in range(node.children().size())]
+        if node.nodeName() == "Join":
+            outputs = [child.output() for child in children]
+            names |= {o.apply(n).name() for o in outputs for n in range(o.size())}
+        todo += children
+    return names
+
+
+def test_no_days_of_a_year_ride_along_in_joins(stored):
+    freezes = freeze.average_freeze_dates(freeze.freeze_by_year(stored["history"]), "2026-01-10")
+    daily = climate.daily_data(stored["sun"], climate.daily_climatology(stored["history"], "2026-01-10"))
+    names = joined_columns(planting.planting_calendar(daily, freezes, stored["plants"]))
+    assert "new_highs" in names and not names & {"hot_days", "hot"}
+
+
+def test_filter_options_compute_no_windows(stored):
+    freezes = freeze.average_freeze_dates(freeze.freeze_by_year(stored["history"]), "2026-01-10")
+    daily = climate.daily_data(stored["sun"], climate.daily_climatology(stored["history"], "2026-01-10"))
+    groups = planting.plant_groups(stored["plants"])
+    cities = planting.cities_with_windows(daily, freezes, groups)
+    text = plan(catalogue.filter_options(cities, stored["plants"]))
+    assert "Window" not in text
+    windows = planting.planting_calendar(daily, freezes, stored["plants"])
+    assert sorted(r.city for r in cities.collect()) == sorted({r.city for r in windows.collect()})
+
+
 def test_planting_windows_read_history_once_per_use(stored):
     """Once for freeze dates and once for the climatology."""
     daily, freezes = daily_and_freezes(stored)

@@ -175,6 +175,87 @@ class TestSnapshots:
             spark.read.parquet(path)
 
 
+    def test_several_tables_are_read_as_of_one_moment(self, spark, tmp_path, monkeypatch):
+        root = str(tmp_path / "root")
+
+        def write(run, n):
+            return [snapshots.write_version(spark.range(n), root, t, run) for t in ("a", "b")]
+
+        snapshots.publish(spark, root, write("one", 3))
+        new, read = write("two", 5), snapshots.Version.read
+
+        def publish_in_between(version, session):
+            if new:
+                snapshots.publish(spark, root, [new.pop(), new.pop()])
+            return read(version, session)
+
+        monkeypatch.setattr(snapshots.Version, "read", publish_in_between)
+        found = snapshots.read_all_published(spark, root, ["a", "b"])
+        assert {t: df.count() for t, df in found.items()} == {"a": 3, "b": 3}
+        assert snapshots.read_published(spark, root, "b").count() == 5
+        with pytest.raises(LookupError, match="c"):
+            snapshots.read_all_published(spark, root, ["a", "c"])
+
+    def test_the_log_can_be_compacted(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        snapshots.compact_log(spark, root)
+        for n in range(1, 4):
+            snapshots.publish(spark, root, [snapshots.write_version(spark.range(n), root, "t", f"run{n}")])
+        snapshots.publish(spark, root, [snapshots.write_version(spark.range(9), root, "u", "run")])
+        snapshots.compact_log(spark, root)
+        assert len(list((tmp_path / "root" / "_published").glob("part-*.json"))) == 1
+        assert {t: df.count() for t, df in snapshots.read_all_published(spark, root, ["t", "u"]).items()} == {"t": 3, "u": 9}
+        snapshots.publish(spark, root, [snapshots.write_version(spark.range(4), root, "t", "run4")])
+        assert snapshots.read_published(spark, root, "t").count() == 4
+
+
+class TestCsv:
+    COLUMNS = "date DATE, temp_max DOUBLE, city STRING"
+
+    def files(self, tmp_path, *texts):
+        for n, text in enumerate(texts):
+            (tmp_path / f"{n}.csv").write_text(text)
+        return str(tmp_path)
+
+    def test_headers_in_another_order(self, spark, tmp_path):
+        path = self.files(tmp_path, "date,temp_max,city\n2026-01-01,1.5,Bend\n", 'city,date,"temp_max",more\nSalem,2026-01-02,2.5,x\n')
+        with pytest.raises(Exception, match="(?i)header"):
+            tables.read_csv(spark, path, self.COLUMNS).collect()
+        got = tables.read_csv(spark, path, self.COLUMNS, mixed_headers=True)
+        assert rows(got) == [(day("2026-01-01"), 1.5, "Bend"), (day("2026-01-02"), 2.5, "Salem")]
+
+    def test_values_that_cannot_be_read_are_told(self, spark, tmp_path):
+        path = self.files(tmp_path, "date,temp_max,city\n2026-01-01,abc,Bend\n2026-01-02,,Bend\nsoon,3,Bend\n")
+        assert rows(tables.read_csv(spark, path, self.COLUMNS), "temp_max") == [(3.0,), (None,), (None,)]
+        bad = tables.unreadable_rows(spark, path, self.COLUMNS)
+        assert rows(bad, "line") == [("2026-01-01,abc,Bend",), ("soon,3,Bend",)]
+        assert bad.count() == 2
+
+    def test_line_breaks_in_values(self, spark, tmp_path):
+        df = spark.createDataFrame([("a\nb", 1.0), ('say "x", y', 2.0), (None, 3.0)], "text STRING, n DOUBLE")
+        with pytest.raises(Exception, match="line break in text"):
+            tables.write_csv(df, str(tmp_path / "refused"))
+        tables.write_csv(df, str(tmp_path / "kept"), multi_line=True)
+        got = tables.read_csv(spark, str(tmp_path / "kept"), "text STRING, n DOUBLE", multi_line=True)
+        assert rows(got) == rows(df)
+
+
+class TestSun:
+    def test_bad_records_cost_only_themselves(self, spark, tmp_path):
+        good = {field: "6:45:32 AM" for field in payloads.SUN_FIELDS} | {"date": "1/9/2026"}
+        lines = [
+            json.dumps({"city": "Bend", "results": [good, {**good, "sunrise": "-"}, {**good, "date": "soon"}]}),
+            json.dumps({"results": [good]}),
+            json.dumps({"city": "Salem"}),
+            json.dumps({"city": "Eugene", "results": [good]})[:-5],
+        ]
+        path = land(tmp_path / "sun", "\n".join(lines))
+        got = payloads.read_sun(spark, path)
+        assert rows(got, "city", "date", "sunrise") == [("Bend", day("2026-01-09"), "06:45:32"), ("Bend", day("2026-01-09"), None)]
+        skipped = payloads.skipped_sun(spark, path)
+        assert sorted(r.reason for r in skipped.collect()) == ["malformed", "no date", "no station or records", "no station or records"]
+
+
 class FakeSession:
     def __init__(self, conf, master):
         self.conf = conf
@@ -243,10 +324,12 @@ class TestJobs:
         useless = land(tmp_path / "bad", "{")
         assert jobs.ingest_history(spark, root, history) and not jobs.ingest_history(spark, root, useless)
         assert jobs.ingest_sun(spark, root, suns) and not jobs.ingest_sun(spark, root, useless)
-        assert rows(snapshots.read_published(spark, root, "temp_soil_historical")) == [
+        with pytest.raises(LookupError):  # what users read changes at the next rebuild
+            snapshots.read_published(spark, root, "temp_soil_historical")
+        assert rows(snapshots.read_published(spark, root, jobs.LANDED_HISTORY)) == [
             (day("1940-01-01"), 1.0, 1.0, 1.0, 1.0, "Bend")
         ]
-        assert rows(snapshots.read_published(spark, root, "sun_times"), "city", "date", "sunrise", "day_length") == [
+        assert rows(snapshots.read_published(spark, root, jobs.LANDED_SUN), "city", "date", "sunrise", "day_length") == [
             ("Bend", day("2026-01-01"), "06:00:00", "6:00:00 AM")
         ]
 

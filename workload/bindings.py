@@ -109,7 +109,7 @@ class Inputs:
         columns = {ours: theirs for theirs, ours in SUN_FIELDS.items()}
         return self.sun_seconds.select(
             "city",
-            F.date_format("date", "yyyy-MM-dd").alias("date"),
+            F.date_format("date", "M/d/yyyy").alias("date"),
             *[_clock(F.col(c), "h:mm:ss a").alias(columns[c]) for c in SUN_CLOCKS],
             "day_length",
         )
@@ -124,7 +124,7 @@ class Inputs:
         size = F.col("p_size")
         brand = F.substring("p_brand", 7, 4).cast("int")
         coolest = 42 + brand * 1.75 + size / 8
-        warmest = 100 + size / 8
+        warmest = 70.0 + size  # inside the range of the stations' highs
         return self.table("part").select(
             F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string")).alias("common_name"),
             F.col("p_name").alias("plant_family"),
@@ -207,8 +207,25 @@ class Inputs:
         )
         return days.select(F.to_json(F.struct("city", daily.alias("daily"))).alias("value"))
 
-    def sun_payloads(self) -> DataFrame:
-        """Sun times as landed: a JSON record per station with a list of days."""
+    def sun_payloads(self, faults: bool = False) -> DataFrame:
+        """Sun times as landed: a JSON record per station with a list of days.
+
+        With ``faults``, the payloads of some stations are cut off or lack the
+        station or the records, and some days of others lack a date.
+        """
+        landed = self.landed_sun
+        balance = F.col("s_acctbal")
+        if faults:
+            landed = landed.join(self.stations.select("city", "s_acctbal"), "city").withColumn(
+                "date", F.when((balance > 5000) & F.col("date").startswith("6/"), "-").otherwise(F.col("date"))
+            )
         record = F.struct(*[c for c in self.landed_sun.columns if c != "city"])
-        days = self.landed_sun.groupBy("city").agg(F.collect_list(record).alias("results"))
-        return days.select(F.to_json(F.struct("city", "results")).alias("value"))
+        keys = ["city", "s_acctbal"] if faults else ["city"]
+        days = landed.groupBy(*keys).agg(F.collect_list(record).alias("results"))
+        if not faults:
+            return days.select(F.to_json(F.struct("city", "results")).alias("value"))
+        city = F.when(~balance.between(0, 1000), F.col("city")).alias("city")
+        results = F.when(~balance.between(1000.01, 2000), F.col("results")).alias("results")
+        text = F.to_json(F.struct(city, results))
+        cut_off = F.substring(text, F.lit(1), F.length(text) - 3)
+        return days.select(F.when(balance < 0, cut_off).otherwise(text).alias("value"))

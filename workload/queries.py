@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sowcast.operators import catalogue, climate, conditions, freeze, planting, relational, weather
 from sowcast.plans import jobs
-from sowcast.sources import payloads, snapshots, tables
+from sowcast.sources import payloads, schemas, snapshots, tables
 from sowcast.sources.scratch import scratch_dir
 from workload.bindings import AS_OF, Inputs
 
@@ -112,10 +112,7 @@ def today_conditions(i: Inputs) -> DataFrame:
 
 @query
 def recent_weeks(i: Inputs) -> DataFrame:
-    daily = daily_weather(i)
-    # the tracker as of the end of the forecast, as a rolling snapshot would hold it
-    held = daily.where(F.col("date") < F.date_add(F.lit(AS_OF).cast("date"), 7))
-    return conditions.recent_weeks(daily, weather.irrigation_tracker(held), AS_OF)
+    return conditions.recent_weeks(daily_weather(i), irrigation_tracker(i), AS_OF)
 
 
 @query
@@ -169,7 +166,8 @@ def plant_catalogue_for_hummingbirds(i: Inputs) -> DataFrame:
 
 @query
 def filter_options(i: Inputs) -> DataFrame:
-    return catalogue.filter_options(planting_windows(i), i.plants)
+    cities = planting.cities_with_windows(daily_data(i), avg_freeze_dates(i), group_params(i))
+    return catalogue.filter_options(cities, i.plants)
 
 
 @query
@@ -197,6 +195,14 @@ def selection_semi_join(i: Inputs) -> DataFrame:
     return relational.keep_selected(i.plants, i.selection, ["common_name"])
 
 
+@query
+def picked_plants(i: Inputs) -> DataFrame:
+    """The segments of a few plants that a user picked in two cities."""
+    cities = [f"Supplier#{n:09d}" for n in (3, 7)]
+    names = [r[0] for r in i.plants.orderBy("common_name").select("common_name").limit(5).collect()]
+    return relational.select_plants(i.stations, cities, names)
+
+
 @query
 def selection_in_list(i: Inputs) -> DataFrame:
     return relational.keep_values(i.plants, "growing_season", ["ECONOMY", "PROMO"])
@@ -238,6 +244,15 @@ def json_skipped_payloads(i: Inputs) -> DataFrame:
     return skipped.groupBy("reason").agg(F.count(F.lit(1)).alias("skipped"))
 
 
+@query
+def json_sun_skipped(i: Inputs) -> DataFrame:
+    """What is skipped of partly faulty sun payloads, and the days that are left."""
+    landed = _land(i, i.sun_payloads(faults=True), "sun-faults")
+    skipped = payloads.skipped_sun(i.spark, landed).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    left = payloads.read_sun(i.spark, landed).agg(F.count(F.lit(1)).alias("records"))
+    return skipped.union(left.select(F.lit("read").alias("reason"), "records"))
+
+
 def _csv(i: Inputs, df: DataFrame, label: str) -> str:
     path = f"{scratch_dir(i.spark, label)}/csv"
     tables.write_csv(df, path)
@@ -264,6 +279,27 @@ def csv_sun_roundtrip(i: Inputs) -> DataFrame:
     return tables.read_sun_csv(i.spark, _csv(i, i.sun, "sun"))
 
 
+@query
+def csv_mixed_headers(i: Inputs) -> DataFrame:
+    """Files with the columns in two orders, read together."""
+    path = f"{scratch_dir(i.spark, 'mixed')}/csv"
+    year = F.year("date")
+    tables.write_csv(i.raw_weather.where(year < 1995), f"{path}/part=1")
+    late = i.raw_weather.where((year >= 1995) | year.isNull())
+    tables.write_csv(late.select("city", "precipitation", "temp_min", "temp_max", "date"), f"{path}/part=2")
+    return tables.read_csv(i.spark, [f"{path}/part=1", f"{path}/part=2"], schemas.RAW_WEATHER, mixed_headers=True)
+
+
+@query
+def csv_skipped_values(i: Inputs) -> DataFrame:
+    """Rows of each city whose high is text, and how many highs are left."""
+    high = F.when(F.col("temp_min") < 32, "warm").otherwise(F.col("temp_max").cast("string"))
+    path = _csv(i, i.raw_weather.withColumn("temp_max", high), "unreadable")
+    bad = tables.unreadable_rows(i.spark, path, schemas.RAW_WEATHER).groupBy("city").agg(F.count("line").alias("unreadable"))
+    left = tables.read_weather_csv(i.spark, path).groupBy("city").agg(F.count("temp_max").alias("highs"))
+    return left.join(bad, "city", "left").select("city", F.coalesce("unreadable", F.lit(0)).alias("unreadable"), "highs")
+
+
 @query
 def csv_plants_roundtrip(i: Inputs) -> DataFrame:
     return tables.read_plants_csv(i.spark, _csv(i, i.plants, "plants"))
@@ -271,7 +307,7 @@ def csv_plants_roundtrip(i: Inputs) -> DataFrame:
 
 @query
 def csv_export(i: Inputs) -> DataFrame:
-    export = planting_export(i)
+    export = relational.for_display(planting_export(i), "planting_export")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in export.schema)
     return tables.read_csv(i.spark, _csv(i, export, "export"), columns)
 
@@ -309,11 +345,22 @@ def forecast_refresh(i: Inputs) -> DataFrame:
 def history_ingest(i: Inputs) -> DataFrame:
     root = f"{scratch_dir(i.spark, 'ingest')}/tables"
     jobs.ingest_history(i.spark, root, _land(i, i.history_payloads(), "history"))
-    return snapshots.read_published(i.spark, root, "temp_soil_historical")
+    return snapshots.read_published(i.spark, root, jobs.LANDED_HISTORY)
 
 
 @query
 def sun_ingest(i: Inputs) -> DataFrame:
     root = f"{scratch_dir(i.spark, 'ingest')}/tables"
     jobs.ingest_sun(i.spark, root, _land(i, i.sun_payloads(), "sun"))
-    return snapshots.read_published(i.spark, root, "sun_times")
+    return snapshots.read_published(i.spark, root, jobs.LANDED_SUN)
+
+
+@query
+def rebuild_from_landed(i: Inputs) -> DataFrame:
+    """Planting windows after all inputs were ingested and everything was rebuilt from them."""
+    root = f"{scratch_dir(i.spark, 'landed')}/tables"
+    jobs.refresh_forecast(i.spark, root, _land(i, i.forecast_payloads(), "forecast"))
+    jobs.ingest_history(i.spark, root, _land(i, i.history_payloads(), "history"))
+    jobs.ingest_sun(i.spark, root, _land(i, i.sun_payloads(), "sun"))
+    jobs.rebuild_from_landed(i.spark, root, i.plants, AS_OF)
+    return snapshots.read_published(i.spark, root, "planting_gantt")
