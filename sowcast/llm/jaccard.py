@@ -17,7 +17,8 @@ copies thus costs about as many pairs as it has rows, and none is lost.
 
 Words are separated by ASCII white space, with A-Z lower-cased. A document of fewer
 words than an n-gram has one n-gram of all. Null and wordless documents have none,
-and are linked with nothing. N-grams and sets are known by 64- and 128-bit hashes.
+and are linked with nothing. N-grams and sets are known by 64-bit hashes: of a
+billion different sets, two are taken for one with a chance of about 1 in 40.
 """
 
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sowcast.llm.bitmaps import bitmap_of, in_bitmap
 from sowcast.llm.components import connected_components
 from sowcast.sources.scratch import stored
 
@@ -47,30 +49,46 @@ def ngram_hashes(text: str | None, n: int) -> np.ndarray:
         hashes = (hashes ^ (hashes >> np.uint64(29))) * _MIX[1] + word[i : i + count] * _MIX[0]
     hashes ^= hashes >> np.uint64(32)
     hashes *= _MIX[2]
-    return np.unique(hashes ^ (hashes >> np.uint64(29)))
+    hashes ^= hashes >> np.uint64(29)
+    return _distinct(hashes)
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes.sort()
+    return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])]
 
 
 def _prefix_size(n: int, percent: int) -> int:
     return n - (n * percent + 99) // 100 + 1
 
 
+def _number(hashes: np.ndarray) -> int:
+    """A signed 64-bit hash of a set."""
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+
+
 def _longs(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.cumsum([0] + [len(a) for a in arrays])
     values = np.concatenate([*arrays, np.zeros(0, np.uint64)]).view(np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
-def frequent_ngrams(docs: DataFrame, n: int, percent: int, frequent_from: int, at_most: int) -> np.ndarray:
-    """N-grams that more than ``frequent_from`` documents have among the first in hash
-    order, the most frequent ``at_most``. They only order columns, so that a bound on
-    them changes no result."""
+def frequent_ngrams(docs: DataFrame, n: int, frequent_from: int, at_most: int) -> np.ndarray:
+    """N-grams of more than ``frequent_from`` documents, the most frequent ``at_most``.
+    All are counted among the quarter with the lowest hashes, where most prefixes lie;
+    others count where a batch of documents has several. They only order columns, so
+    that these bounds change no result."""
+    quarter = 1 << 62
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [ngram_hashes(t.as_py(), n) for t in batch.column(0)]
-            first = [s[: _prefix_size(len(s), percent) * 3 // 2] for s in sets if len(s)]
-            found, times = np.unique(np.concatenate([*first, np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], names=["ngram", "times"])
+            every = np.concatenate([*[ngram_hashes(t.as_py(), n) for t in batch.column(0)], np.zeros(0, np.uint64)])
+            every.sort()
+            begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
+            times = np.diff(np.append(begin, len(every)))
+            found = every[begin]
+            some = (found < quarter) | (times > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(found[some].view(np.int64)), pa.array(times[some])], names=["ngram", "times"])
 
     counted = docs.select("text").mapInArrow(count, "ngram LONG, times LONG").groupBy("ngram").agg(F.sum("times").alias("times"))
     often = counted.where(F.col("times") > frequent_from).orderBy(F.desc("times"), "ngram").limit(at_most)
@@ -86,17 +104,46 @@ def _rows(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFr
             prints, sizes, prefixes = [], [], []
             for text in batch.column("text"):
                 own = ngram_hashes(text.as_py(), n)
-                prints.append(xxhash.xxh3_128_digest(own.tobytes()))
+                prints.append(_number(own))
                 sizes.append(len(own))
-                late = np.isin(own, sent.value, assume_unique=True)
+                late = sent.value[np.searchsorted(sent.value[:-1], own)] == own if len(sent.value) else np.zeros(len(own), bool)
                 prefixes.append(np.concatenate([own[~late], own[late]])[: _prefix_size(len(own), percent) if len(own) else 0])
-            arrays = [pa.array(prints, pa.binary()), pa.array(sizes, pa.int64()), _longs(prefixes)]
+            arrays = [pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), _longs(prefixes)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), *arrays], names=["doc_id", "key", "node", "size", "prefix"]
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(reduce, f"doc_id {id_type}, key STRING, node BINARY, size LONG, prefix ARRAY<LONG>")
+    return docs.mapInArrow(reduce, f"doc_id {id_type}, key STRING, node LONG, size INT, prefix ARRAY<LONG>")
+
+
+def _entries(rows: DataFrame, bits: int) -> DataFrame:
+    """The prefix columns that several rows have, as (ngram, node) with the node's size
+    and smallest id. Most columns have one row and are left out before any shuffle of
+    entries, as far as a bitmap of fixed size can tell."""
+    times = rows.select(F.explode("prefix").alias("ngram")).groupBy("ngram").count()
+    sent = rows.sparkSession.sparkContext.broadcast(bitmap_of(times.where("count > 1"), "ngram", bits))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefixes = batch.column("prefix")
+            ngrams = prefixes.flatten()
+            of = np.repeat(np.arange(len(prefixes)), prefixes.value_lengths().to_numpy())
+            some = in_bitmap(sent.value, ngrams.to_numpy())
+            take = pa.array(of[some])
+            arrays = [ngrams.filter(pa.array(some)), *[batch.column(c).take(take) for c in ("node", "size", "doc_id")]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["ngram", "node", "size", "doc_id"])
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.select("node", "size", "doc_id", "prefix").mapInArrow(spread, f"ngram LONG, node LONG, size INT, doc_id {id_type}")
+    return found.groupBy("ngram", "node", "size").agg(F.min("doc_id").alias("doc_id"))
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.union(more)
+    return out
 
 
 def _least_overlap(percent: int) -> Column:
@@ -104,78 +151,58 @@ def _least_overlap(percent: int) -> Column:
     return F.ceil((F.col("size_a") + F.col("size_b")) * percent / F.lit(100 + percent) - F.lit(1e-9))
 
 
-def _sizes_allow(percent: int, a: str, b: str) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _pairs(meetings: DataFrame, percent: int) -> DataFrame:
+    """Unordered pairs of rows (node, other) that meet in so many columns that, with
+    all columns outside their prefixes, they might overlap enough."""
+    swap = F.col("node") > F.col("other")
+    sizes = F.least("size", "other_size") * 100 >= F.greatest("size", "other_size") * percent
+    # what the columns outside the prefixes can add at most
+    rest = F.greatest(*[F.ceil(F.col(s) * percent / 100 - F.lit(1e-9)) - 1 for s in ("size_a", "size_b")])
+    return (
+        meetings.where(sizes)
+        .groupBy(
+            F.when(swap, F.col("other")).otherwise(F.col("node")).alias("a"),
+            F.when(swap, F.col("node")).otherwise(F.col("other")).alias("b"),
+            F.when(swap, F.col("other_size")).otherwise(F.col("size")).alias("size_a"),
+            F.when(swap, F.col("size")).otherwise(F.col("other_size")).alias("size_b"),
+        )
+        .count()
+        .where(F.col("count") >= _least_overlap(percent) - rest)
+    )
 
 
-class _Product:
-    """The overlaps of pairs of rows, counted for those that the bounds leave."""
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
+    """Those of the pairs that are linked, by their whole sets. The sets are made anew
+    from the texts that are in some pair; a bitmap of fixed size spares most others."""
+    pairs = stored(pairs, "pairs")
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    nodes = pairs.select("a").union(pairs.select("b")).toDF("node").distinct()
+    place = F.xxhash64("doc_id", "key").alias("place")
+    nodes = stored(nodes.join(classes, "node").select("node", place), "nodes")
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(nodes, "place", bits))
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, n: int, percent: int, filter_bits: int):
-        self.docs, self.classes, self.n, self.percent, self.bits = docs, classes, n, percent, filter_bits
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = np.flatnonzero(in_bitmap(sent.value, batch.column("place").to_numpy()))
+            sets = [ngram_hashes(batch.column("text")[int(r)].as_py(), n) for r in wanted]
+            prints = pa.array([_number(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([prints, _longs(sets)], names=["node", "ngrams"])
+
+    # rows that repeat an id and text make a set each
+    sets = stored(docs.select("text", place).mapInArrow(make, "node LONG, ngrams ARRAY<LONG>"), "sets")
+    both = pairs.drop("count").join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    enough = F.size(F.array_intersect("set_a", "set_b")) >= _least_overlap(percent)
+    return stored(both.where(enough).select("a", "b").distinct(), "links")
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b, size_a, size_b) that are linked."""
-        prefix = self.classes.select("node", "prefix")
-        need = _least_overlap(self.percent)
-        # what the columns outside the prefixes can add at most
-        rest = F.greatest(*[F.ceil(F.col(s) * self.percent / 100 - F.lit(1e-9)) - 1 for s in ("size_a", "size_b")])
-        left = stored(
-            pairs.join(prefix.toDF("a", "prefix_a"), "a")
-            .join(prefix.toDF("b", "prefix_b"), "b")
-            .where(F.size(F.array_intersect("prefix_a", "prefix_b")) >= need - rest)
-            .select("a", "b", "size_a", "size_b"),
-            "pairs",
-        )
-        sets = self._sets(left.select("a").union(left.select("b")).toDF("node").distinct())
-        return stored(
-            left.join(sets.toDF("a", "set_a"), "a")
-            .join(sets.toDF("b", "set_b"), "b")
-            .where(F.size(F.array_intersect("set_a", "set_b")) >= need)
-            .select("a", "b"),
-            "links",
-        )
 
-    def _sets(self, nodes: DataFrame) -> DataFrame:
-        """Whole sets of some nodes, made anew from the texts. A bitmap of fixed size
-        spares most other documents the work; the join decides."""
-        nodes = stored(nodes.join(self.classes.select("node", "doc_id", "key"), "node"), "nodes")
-        place = F.pmod(F.xxhash64("doc_id", "key"), F.lit(self.bits)) + 1  # bitmaps count from 1
-        bitmap = np.zeros(self.bits // 8, np.uint8)
-        words = nodes.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
-        for bucket, bits in words.groupBy("bucket").agg(F.bitmap_construct_agg("bit")).toLocalIterator():
-            bitmap[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(bits, np.uint8)
-        sent, n = self.docs.sparkSession.sparkContext.broadcast(bitmap), self.n
-
-        def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = batch.column("place").to_numpy() - 1
-                rows = np.flatnonzero((sent.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
-                sets = [ngram_hashes(batch.column("text")[int(r)].as_py(), n) for r in rows]
-                prints = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([prints, _longs(sets)], names=["node", "ngrams"])
-
-        placed = self.docs.select("text", place.alias("place"))
-        made = placed.mapInArrow(make, "node BINARY, ngrams ARRAY<LONG>")
-        return stored(made.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-
-
-def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Entries with their node's component; columns within one component go."""
-    own = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = entries.withColumn("component", F.col("node"))
+    if labels is not None:
+        own = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = own.groupBy("ngram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return own.join(mixed.select("ngram"), "ngram", "left_semi")
-
-
-def _pairs(frame: DataFrame) -> DataFrame:
-    """Distinct unordered pairs of (node, other), with sizes."""
-    swap = F.col("node") > F.col("other")
-    return frame.select(
-        F.when(swap, F.col("other")).otherwise(F.col("node")).alias("a"),
-        F.when(swap, F.col("node")).otherwise(F.col("other")).alias("b"),
-        F.when(swap, F.col("other_size")).otherwise(F.col("size")).alias("size_a"),
-        F.when(swap, F.col("size")).otherwise(F.col("other_size")).alias("size_b"),
-    ).distinct()
+    return stored(own.join(mixed.select("ngram"), "ngram", "left_semi"), "live")
 
 
 def link_documents(
@@ -186,7 +213,7 @@ def link_documents(
     percent: int = 80,
     frequent_from: int = 64,
     at_most_frequent: int = 1_000_000,
-    star_gain: float = 0.05,
+    star_gain: float = 0.1,
     filter_bits: int = 1 << 27,
 ) -> DataFrame:
     """Per row of ``docs``: its id, the size of its set, the smallest id of its
@@ -201,51 +228,42 @@ def link_documents(
         F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256).alias("key"),
         F.col(text_column).alias("text"),
     )
-    frequent = frequent_ngrams(docs, n, percent, frequent_from, at_most_frequent)
+    frequent = frequent_ngrams(docs, n, frequent_from, at_most_frequent)
     rows = stored(_rows(docs, n, percent, frequent), "rows")
-    classes = stored(
-        rows.where("size > 0")
-        .groupBy("node")
-        .agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first"),
-            F.first("size").alias("size"),
-            F.first("prefix").alias("prefix"),
-        )
-        .select("node", "first.doc_id", "first.key", "size", "prefix"),
-        "classes",
-    )
-    every = classes.select("node", "size", "doc_id", F.explode("prefix").alias("ngram"))
-    shared = every.groupBy("ngram").count().where("count > 1").select("ngram")
-    entries = stored(every.join(shared, "ngram", "left_semi"), "entries")
-    product = _Product(docs, classes, n, percent, filter_bits)
-    no_label = entries.select("node", F.col("node").alias("component")).limit(0)
-    labels, links, round_ = no_label, entries.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), 0
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    classes = stored(rows.where("size > 0").groupBy("node").agg(first).select("node", "first.doc_id", "first.key"), "classes")
+    live = _labelled(stored(_entries(rows, filter_bits), "entries"), None)
+    links: list[DataFrame] = []
+    labels, round_ = None, 0
     while True:
-        live = stored(_labelled(entries, labels), "live")
-        rank = F.xxhash64("node", F.lit(round_)) if round_ else F.col("doc_id")
-        pivot = live.groupBy("ngram").agg(
-            F.min(F.struct(rank.alias("rank"), F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("to"))).alias("p")
-        )
-        star = live.join(pivot.select("ngram", "p.*"), "ngram").where(F.col("component") != F.col("to"))
+        rank = F.xxhash64("node", F.lit(round_)) if round_ else F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
+        other = F.struct(rank.alias("rank"), F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("to"))
+        pivot = live.groupBy("ngram").agg(F.min(other).alias("p")).select("ngram", "p.*")
+        star = live.join(pivot, "ngram").where(F.col("component") != F.col("to"))
+        links.append(_linked(_pairs(star, percent), docs, classes, n, percent, filter_bits))
+        if links[-1].isEmpty():
+            break
+        labels = stored(connected_components(_all(links)), "labels")
         before = live.select("component").distinct().count()
-        found = product.linked(_pairs(star.where(_sizes_allow(percent, "size", "other_size"))))
-        links = links.union(found)
-        labels = stored(connected_components(links), "labels")
-        after = live.select("node").distinct().join(labels, "node", "left").select(F.coalesce("component", "node")).distinct().count()
+        live = _labelled(live.drop("component"), labels)
+        after = live.select("component").distinct().count()
         round_ += 1
         if before - after <= star_gain * before:
             break
-    live = stored(_labelled(entries, labels).select("ngram", "node", "size", "component"), "live")
-    other = live.toDF("ngram", "other", "other_size", "to")
-    across = live.join(other, "ngram").where((F.col("component") < F.col("to")) & _sizes_allow(percent, "size", "other_size"))
-    labels = stored(connected_components(links.union(product.linked(_pairs(across)))), "labels")
+    other = live.select("ngram", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("to"))
+    across = live.join(other, "ngram").where(F.col("component") < F.col("to"))
+    links.append(_linked(_pairs(across, percent), docs, classes, n, percent, filter_bits))
+    if not links[-1].isEmpty():
+        labels = stored(connected_components(_all(links)), "labels")
+    if labels is None:
+        labels = classes.select("node", F.col("node").alias("component")).limit(0)
     member = classes.select("node", "doc_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = member.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     found = member.join(least, "component").select("node", "component", "component_id")
     wordless = F.col("size") == 0
     return rows.join(found, "node", "left").select(
         F.col("doc_id").alias(id_column),
-        F.col("size").alias("n_shingles"),
+        F.col("size").cast("long").alias("n_shingles"),
         F.when(wordless, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.col("component").alias("node"),
         "key",
