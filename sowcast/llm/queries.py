@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sowcast.llm import decontamination, exact_dedup, jaccard, packing, quality, sharding, suffix_dedup, toxicity, warc
+from sowcast.llm import decontamination, exact_dedup, jaccard, line_dedup, packing, quality, sharding, suffix_dedup, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +48,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlap_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dropped_lines(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
