@@ -377,6 +377,7 @@ def repeated_spans(
 
     schema = f"doc_id {id_type}, name STRING, anchor LONG, start LONG, first LONG, count LONG, hull BINARY, large BOOLEAN, later BOOLEAN"
     found = stored(slim.mapInArrow(extract, schema), "runs")
+    sent.unpersist()
     merged = found.where("hull IS NULL").select("name", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + length).alias("end"), "later")
     runs = found.where("hull IS NOT NULL")
     wanted = ["anchor", "doc_id", "name", "start", "first", "count", "hull"]
@@ -410,9 +411,9 @@ def _with_spans(docs: DataFrame, id_column: str, text_column: str, keep_first: b
     spans = repeated_spans(docs, id_column, text_column, **options).where(F.col("later") == keep_first)
     # at most a few spans for each anchor of a text
     own = spans.groupBy("name").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), _name(F.col(id_column), text).alias("name"))
-    return rows.join(own, "name", "left")
+    name = _name(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")))
+    rows = docs.select(F.struct("*").alias("row"), name.alias("name")).join(own, "name", "left")
+    return rows.withColumn("text", F.coalesce(F.col("row")[text_column], F.lit("")))
 
 
 def removal_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_first: bool = False, **options) -> DataFrame:
