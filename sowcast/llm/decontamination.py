@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _WORD_BYTES = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(128, 256))
 _TO_WORDS = bytes(c if c in _WORD_BYTES else 32 for c in bytes(range(256)).lower())
@@ -181,8 +182,6 @@ def _search_shards(batches: Iterator[pa.RecordBatch], phrases: Phrases, keep: li
     schema = T.StructType(
         [T.StructField("n_words", T.LongType()), T.StructField("spans", _SPANS), T.StructField("items", T.ArrayType(T.StringType()))]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     types = to_arrow_schema(schema)
 
     def of_shard(numbered: list[np.ndarray]) -> list[tuple[list, set]]:
@@ -215,7 +214,6 @@ def _search_shards(batches: Iterator[pa.RecordBatch], phrases: Phrases, keep: li
 def find_phrases(
     docs: DataFrame,
     benchmark: DataFrame,
-    id_column: str = "doc_id",
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
@@ -261,7 +259,7 @@ def find_phrases(
 def overlap_report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """Per row of ``docs``: its words, how many are inside phrases, and the items."""
     slim = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    narrow = find_phrases(slim, benchmark, "doc_id", "text", **options)
+    narrow = find_phrases(slim, benchmark, **options)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["first"])
     return narrow.select(
         F.col("row.doc_id").alias(id_column),

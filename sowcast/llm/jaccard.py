@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sowcast.llm.batches import parts
 from sowcast.llm.bitmaps import bitmap_of, in_bitmap
 from sowcast.llm.components import connected_components
 from sowcast.sources.scratch import stored
@@ -81,7 +82,7 @@ def frequent_ngrams(docs: DataFrame, n: int, frequent_from: int, at_most: int) -
     quarter = 1 << 62
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 2500):
             every = np.concatenate([*[ngram_hashes(t.as_py(), n) for t in batch.column(0)], np.zeros(0, np.uint64)])
             every.sort()
             begin = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
@@ -100,7 +101,7 @@ def _rows(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFr
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 2500):
             prints, sizes, prefixes = [], [], []
             for text in batch.column("text"):
                 own = ngram_hashes(text.as_py(), n)
@@ -114,7 +115,9 @@ def _rows(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFr
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(reduce, f"doc_id {id_type}, key STRING, node LONG, size INT, prefix ARRAY<LONG>")
+    rows = stored(docs.mapInArrow(reduce, f"doc_id {id_type}, key STRING, node LONG, size INT, prefix ARRAY<LONG>"), "rows")
+    sent.unpersist()
+    return rows
 
 
 def _entries(rows: DataFrame, bits: int) -> DataFrame:
@@ -136,7 +139,9 @@ def _entries(rows: DataFrame, bits: int) -> DataFrame:
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     found = rows.select("node", "size", "doc_id", "prefix").mapInArrow(spread, f"ngram LONG, node LONG, size INT, doc_id {id_type}")
-    return found.groupBy("ngram", "node", "size").agg(F.min("doc_id").alias("doc_id"))
+    entries = stored(found.groupBy("ngram", "node", "size").agg(F.min("doc_id").alias("doc_id")), "entries")
+    sent.unpersist()
+    return entries
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:
@@ -183,7 +188,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
     sent = docs.sparkSession.sparkContext.broadcast(bitmap_of(nodes, "place", bits))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 2500):
             wanted = np.flatnonzero(in_bitmap(sent.value, batch.column("place").to_numpy()))
             sets = [ngram_hashes(batch.column("text")[int(r)].as_py(), n) for r in wanted]
             prints = pa.array([_number(s) for s in sets], pa.int64())
@@ -191,6 +196,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, perce
 
     # rows that repeat an id and text make a set each
     sets = stored(docs.select("text", place).mapInArrow(make, "node LONG, ngrams ARRAY<LONG>"), "sets")
+    sent.unpersist()
     both = pairs.drop("count").join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     enough = F.size(F.array_intersect("set_a", "set_b")) >= _least_overlap(percent)
     return stored(both.where(enough).select("a", "b").distinct(), "links")
@@ -229,10 +235,10 @@ def link_documents(
         F.col(text_column).alias("text"),
     )
     frequent = frequent_ngrams(docs, n, frequent_from, at_most_frequent)
-    rows = stored(_rows(docs, n, percent, frequent), "rows")
+    rows = _rows(docs, n, percent, frequent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
     classes = stored(rows.where("size > 0").groupBy("node").agg(first).select("node", "first.doc_id", "first.key"), "classes")
-    live = _labelled(stored(_entries(rows, filter_bits), "entries"), None)
+    live = _labelled(_entries(rows, filter_bits), None)
     links: list[DataFrame] = []
     labels, round_ = None, 0
     while True:

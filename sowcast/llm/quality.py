@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sowcast.llm.batches import parts
 from sowcast.sources.scratch import stored
 
 GOOD, POOR, NONE = 1, 0, -1
@@ -171,7 +172,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     names = [name for name, _ in LABELLERS]
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 2000):
             seen = Counter(tuple(votes(Traits.of(t.as_py()))) for t in batch.column(0))
             columns = [pa.array([p[i] for p in seen], pa.int32()) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(list(seen.values()), pa.int64())], names=[*names, "documents"])
@@ -187,7 +188,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     sample = stored(docs.select(text.alias("text"), F.xxhash64(F.col(id_column), text).alias("at")).join(F.broadcast(chosen.select("at").distinct()), "at", "left_semi"), "sample")
 
     def design(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 500):
             traits = [Traits.of(t.as_py()) for t in batch.column(0)]
             target = posterior(np.array([votes(t) for t in traits]).reshape(-1, len(names)), good, accuracies)
             made = [features(t, buckets) for t in traits]

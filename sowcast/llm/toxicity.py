@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sowcast.llm.batches import parts
 from sowcast.sources.scratch import stored
 
 #: Groups by kind. Fixed values.
@@ -137,7 +138,7 @@ def train(
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 500):
             seen = (Counter(), Counter())
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[label].update(_features(set(_words(text))))
@@ -168,7 +169,7 @@ def train(
         def numbers(words: set[str]) -> set[int]:
             return {sent.value[f] for f in _features(words) if f in sent.value}
 
-        for batch in batches:
+        for batch in parts(batches, 500):
             out, swaps = [], Counter()
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 out.append({"label": label, "ones": sorted(numbers(set(_words(text))))})
@@ -181,6 +182,7 @@ def train(
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     table = texts.mapInArrow(design, "label LONG, ones ARRAY<INT>, gained ARRAY<INT>").toArrow()
+    sent.unpersist()
     labels_, ones, swaps = [], [], Counter()
     for label, own_ones, gained in zip(*(table.column(c).to_pylist() for c in table.column_names)):
         if gained is None:

@@ -1,7 +1,6 @@
 import zlib
 
 import duckdb
-import pytest
 from llm_helpers import docs, frame
 from pyspark.sql import functions as F
 
