@@ -177,8 +177,9 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     return out
 
 
-def _search_shards(batches: Iterator[pa.RecordBatch], phrases: Phrases, keep: list[str], shard_words: int):
-    """Each batch again, with the spans and items found so far and in this pass."""
+def _search_shards(batches: Iterator[pa.RecordBatch], phrases: Phrases, keep: list[str], cut: bool, shard_words: int):
+    """Each batch again, with the spans and items found so far and in this pass, and
+    without the spans in its texts if they are to be cut."""
     schema = T.StructType(
         [T.StructField("n_words", T.LongType()), T.StructField("spans", _SPANS), T.StructField("items", T.ArrayType(T.StringType()))]
     )
@@ -208,7 +209,12 @@ def _search_shards(batches: Iterator[pa.RecordBatch], phrases: Phrases, keep: li
             spans.append(_merged(new_spans + [(s["first"], s["end"]) for s in old_spans]))
             items.append(sorted(new_items | set(old_items)))
         arrays = [pa.array(x, types.field(i).type) for i, x in enumerate((n_words, spans, items))]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + arrays, names=[*keep, *types.names])
+        kept = [batch.column(c) for c in keep]
+        if cut:
+            texts = zip(batch.column("text"), spans)
+            left = [cut_words(t.as_py(), own) if own else t.as_py() for t, own in texts]
+            kept[keep.index("text")] = pa.array(left, batch.column("text").type)
+        yield pa.RecordBatch.from_arrays(kept + arrays, names=[*keep, *types.names])
 
 
 def find_phrases(
@@ -218,11 +224,13 @@ def find_phrases(
     item_column: str = "item_id",
     item_text_column: str = "text",
     width: int = 10,
+    cut: bool = False,
     block_bytes: int = 32 << 20,
     shard_words: int = 1 << 20,
 ) -> DataFrame:
-    """Per row of ``docs``: ``row`` (all its columns), ``n_words``, ``spans`` (merged,
-    in words, end excluded) and ``items`` (ids with occurring phrases, as strings).
+    """Per row of ``docs``: ``row`` (its columns but the text), ``n_words``, ``spans``
+    (merged, in words, end excluded) and ``items`` (ids with occurring phrases, as
+    strings). With ``cut``, also ``text``, without the spans.
 
     Phrases travel to every task in blocks of at most about ``block_bytes`` of item
     texts; a larger benchmark takes several passes over the documents, in one stage.
@@ -235,7 +243,7 @@ def find_phrases(
     blocks = max(1, math.ceil(total / block_bytes))
     context = docs.sparkSession.sparkContext
     found = docs.select(
-        F.struct("*").alias("row"),
+        F.struct(*[c for c in docs.columns if c != text_column]).alias("row"),
         F.col(text_column).alias("text"),
         F.array().cast(_SPANS).alias("spans"),
         F.array().cast("array<string>").alias("items"),
@@ -243,14 +251,15 @@ def find_phrases(
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
         sent = context.broadcast(Phrases([tuple(r) for r in own.collect()], width))
-        keep = ["row", "text"] if block + 1 < blocks else ["row"]
+        last = block + 1 == blocks
+        keep = ["row", "text"] if cut or not last else ["row"]
         schema = T.StructType(
             [found.schema[c] for c in keep]
             + [T.StructField("n_words", T.LongType()), T.StructField("spans", _SPANS), T.StructField("items", T.ArrayType(T.StringType()))]
         )
 
-        def search(batches, sent=sent, keep=keep):
-            return _search_shards(batches, sent.value, keep, shard_words)
+        def search(batches, sent=sent, keep=keep, now=cut and last):
+            return _search_shards(batches, sent.value, keep, now, shard_words)
 
         found = found.drop("n_words").mapInArrow(search, schema)
     return found
@@ -291,17 +300,16 @@ def without_phrases(
     words and have none left go. Spans are judged on the text as it came.
     ``length_column`` holds the text's characters and follows the cuts."""
 
-    @F.udf("string", useArrow=True)
-    def cut(text, spans):
-        return None if text is None else cut_words(text, spans)
-
-    found = find_phrases(docs, benchmark, text_column=text_column, **options)
+    found = find_phrases(docs, benchmark, text_column=text_column, cut=True, **options)
     hit = F.size("spans") > 0
-    left = found.withColumn("cut", cut(F.when(hit, F.col("row")[text_column]), F.when(hit, F.col("spans"))))
     whole = F.aggregate("spans", F.lit(0).cast("long"), lambda sum_, s: sum_ + s["end"] - s["first"]) == F.col("n_words")
-    new = {text_column: F.col("cut"), length_column: F.char_length("cut")}
+    new = F.char_length("text").cast(docs.schema[length_column].dataType) if length_column else None
     columns = [
-        F.when(hit, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("row")[c]) if c in new else F.col("row")[c]
+        F.col("text")
+        if c == text_column
+        else F.when(hit, new).otherwise(F.col("row")[c])
+        if c == length_column
+        else F.col("row")[c]
         for c in docs.columns
     ]
-    return left.where(~(hit & whole)).select(*[column.alias(c) for c, column in zip(docs.columns, columns)])
+    return found.where(~(hit & whole)).select(*[column.alias(c) for c, column in zip(docs.columns, columns)])
