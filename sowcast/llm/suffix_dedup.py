@@ -35,7 +35,7 @@ from sowcast.sources.scratch import stored
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
