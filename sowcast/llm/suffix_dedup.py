@@ -7,7 +7,8 @@ distances. Starts that share an anchor form a run, and the bytes of their string
 run's hull. So runs are dealt out by their anchors, and equal strings meet:
 
 1. Anchors that occur once are found by counting and left out, up to what a bitmap of
-   fixed size lets through. Runs with equal hulls in one batch of texts are merged.
+   fixed size lets through; batches of texts do not matter to that. Runs with equal hulls
+   in one batch are merged.
 2. A task holds groups of runs with equal anchors and sorts their suffixes, column by
    column from the last byte to the first, with the longest common prefixes of
    neighbours. In suffix order, the previous and next places that lie earlier in the
@@ -150,7 +151,11 @@ def _anchors_that_recur(docs: DataFrame, length: int, k: int, bits: int, group:
         for batch in batches:
             for raw, places in _chunks([t.as_py().encode() for t in batch.column(0)], length):
                 runs = _runs(raw, places, length, k)
-                found, times = np.unique(runs["anchor"][_merged(runs)[1]], return_counts=True)
+                leader, leaders = _merged(runs)
+                # a merged run counts as two, as its copies may be in different batches of other columns
+                merged = np.bincount(leader, minlength=len(leader))[leaders] > 1
+                found, group, times = np.unique(runs["anchor"][leaders], return_inverse=True, return_counts=True)
+                times += np.bincount(group, merged, len(found)).astype(times.dtype)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times)], names=["anchor", "times"])
 
     counted = docs.select("text").mapInArrow(count, "anchor LONG, times LONG").groupBy("anchor").agg(F.sum("times").alias("times"))

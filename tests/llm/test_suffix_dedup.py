@@ -85,3 +85,18 @@ def test_repeated_and_missing_ids(spark):
     only = s.removal_report(table.where("doc_id = 3"), keep_first=True, **options).collect()
     assert [r.n_removed for r in only] == [0, 0]
     assert s.removal_report(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [1500, 4000])
+def test_passes_may_cut_different_batches(spark, most):
+    # the passes read different columns, so batches of so many bytes end at different rows
+    pick = random.Random(most)
+    word = lambda n: "".join(pick.choices("abcdef ", k=n))
+    texts = [word(pick.randrange(20, 90)) + p for p in (word(200) for _ in range(60)) for _ in range(2)]
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+    try:
+        for keep_first in (False, True):
+            got = report(s.removal_report(docs(spark, *texts).coalesce(1), keep_first=keep_first, length=100, k=12))
+            assert got == brute(list(enumerate(texts)), 100, keep_first)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
