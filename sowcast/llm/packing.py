@@ -2,9 +2,9 @@
 
 Documents become token ids with an end id; longer ones than a sequence are cut, so
 that all pieces but the first are full. Tasks pack a bounded number of pieces by
-best fit in decreasing order. Sequences that are nearly full are done; the others
-are items for the next round, where fewer tasks pack what came from several, until
-one task holds all that is left or mixing them anew merges next to nothing.
+best fit in decreasing order. Sequences without room for the smallest are done; the
+others are items for the next round, where half as many tasks or fewer pack what came
+from several, until one task holds all that is left or no two of them fit together.
 
 Null text counts as empty and makes one piece, the end id. Rows that repeat an id
 are packed each for itself. An empty table gives no pieces.
@@ -126,12 +126,12 @@ def pack_documents(
     id_column: str = "doc_id",
     text_column: str = "text",
     items_per_task: int = 100_000,
-    slack: int = 8,
-    least_gain: float = 0.005,
+    slack: int = 0,
+    least_gain: float = 0.0,
 ) -> DataFrame:
     """Per piece its sequence and its place there.
 
-    ``slack`` is the room up to which a sequence counts as full. Rounds end when one
+    ``slack`` is the room up to which a sequence counts as full. Rounds also end when one
     merges fewer than ``least_gain`` of its items; all pieces are packed in any case.
     """
     cut = stored(pieces(docs, ranks_path, pattern, capacity, end_id, id_column, text_column), "pieces")
@@ -142,9 +142,12 @@ def pack_documents(
     round_ = 0
     while tasks > 1:
         round_ += 1
-        items = left.select(F.col("bin").alias("item"), F.col("fill").alias("length"))
+        least = [r[0] for r in left.select("fill").orderBy("fill").limit(2).collect()]
+        if len(least) < 2 or sum(least) > capacity:  # no two fit together
+            break
+        items = left.where(F.col("fill") <= capacity - least[0]).select(F.col("bin").alias("item"), F.col("fill").alias("length"))
         before = items.count()
-        tasks = min(math.ceil(before / items_per_task), tasks - 1) or 1
+        tasks = max(1, min(math.ceil(before / items_per_task), tasks // 2))
         merged = stored(_pack(items, capacity, round_, tasks), "merged")
         moved = merged.select("item", F.col("bin").alias("into"), F.col("offset").alias("shift"))
         packed = packed.join(moved, packed["bin"] == moved["item"], "left").select(

@@ -70,3 +70,13 @@ def test_repeated_and_missing_ids(spark):
     assert sorted(str(r.doc_id) for r in got) == [str(2**60 + 1)] * 2 + ["None"]
     assert sorted(r.offset for r in got) == [0, 2, 4] and len({r.sequence_id for r in got}) == 1
     assert packing.pack_documents(table.limit(0), RANKS, PATTERN).count() == 0
+
+
+def test_no_two_sequences_fit_together(spark):
+    # each task leaves a half-full sequence at most, so a round merges few of its items
+    half, more = "word " * 15, "word " * 20
+    capacity = 2 * (len(packing.token_ids(half, RANKS, PATTERN)) + 1)
+    texts = [half if n % 19 == 0 else more for n in range(2000)]
+    got = frame(packing.pack_documents(docs(spark, *texts), RANKS, PATTERN, capacity=capacity, items_per_task=100))
+    fills = sorted(got.groupby("sequence_id").length.sum())
+    assert len(got) == 2000 and fills[0] + fills[1] > capacity >= fills[-1]
