@@ -7,12 +7,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sowcast.llm import decontamination, exact_dedup, jaccard, line_dedup, packing, quality, sharding, suffix_dedup, toxicity, warc
+from sowcast.llm import (
+    alignment,
+    decontamination,
+    exact_dedup,
+    jaccard,
+    line_dedup,
+    online_packing,
+    packing,
+    quality,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    warc,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+BYTE_BPE, WORD_BPE = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 #: the ranks of byte_bpe_50k.json
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -87,6 +103,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_report(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+@query
+def op12_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing.pack_online(_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 ORACLE["op10_exact_dedup"] = r"""
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
 FROM (

@@ -16,6 +16,6 @@ def test_same_as_sql(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and ORACLE.items() <= entry.oracle_sql().items()
