@@ -39,7 +39,7 @@ from sowcast.sources.scratch import stored
 
 #: begins a segment, together with the space: what is before is not blank, nor all that follows
 _CUT = re.compile(r"(?<=\S) (?=\s*\S)")
-SEGMENTS = 150_000  # of one generation of those kept in memory, of which there are two
+SEGMENTS = 250_000  # of one generation of those kept in memory, of which there are two
 TOGETHER = 1000  # new segments that are tokenized in one call
 ROWS = 500  # of a batch that are held as Python strings at once
 
@@ -197,7 +197,7 @@ class Aligner:
         split = [_CUT.split(t) if t else [] for t in texts]
         if len(self.seen) > SEGMENTS:
             self.seen, self.before = {}, self.seen
-        new = {s for segments in split for s in segments}.difference(self.seen)
+        new = set().union(*split).difference(self.seen)
         known = new.intersection(self.before)
         self.seen.update((s, self.before[s]) for s in known)
         self._learn(sorted(new - known))
@@ -267,7 +267,7 @@ def link_counts(links: DataFrame, n_pairs: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_pairs, np.int64)
-        for batch in batches:
+        for batch in parts(batches, ROWS):
             total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=n_pairs)
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], names=["pair", "n"])
@@ -292,7 +292,7 @@ def link_report(docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, best = sent.value
-        for batch in batches:
+        for batch in parts(batches, ROWS):
             links = batch.column("links")
             flat = links.flatten().to_numpy()
             ends = np.append(0, np.cumsum(batch.column("n_groups").to_numpy()))

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from sowcast.llm.batches import parts
 
 _BLANKS = "\t\n\v\f\r"
-WORDS = 200_000  # of one generation of those kept in memory, of which there are two
+WORDS = 500_000  # of one generation of those kept in memory, of which there are two
 TOGETHER = 2000  # new words that are tokenized in one call
 ROWS = 500  # of a batch that are held as Python strings at once
 
@@ -91,7 +91,7 @@ class WordTokens:
         split = [self._words(t or "") for t in texts]
         if len(self.seen) > WORDS:
             self.seen, self.before = {}, self.seen
-        new = {w for words in split for w in words}.difference(self.seen)
+        new = set().union(*split).difference(self.seen)
         known = new.intersection(self.before)
         self.seen.update((w, self.before[w]) for w in known)
         self._learn(sorted(new - known))
