@@ -31,23 +31,23 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sowcast.llm.batches import parts
+from sowcast.llm.batches import parts_by_size
 
-_BLANKS = "\t\n\v\f\r"
 WORDS = 500_000  # of one generation of those kept in memory, of which there are two
 TOGETHER = 2000  # new words that are tokenized in one call
-ROWS = 500  # of a batch that are held as Python strings at once
+PART = 8 << 20  # bytes of texts that are taken at once
 
 
 class WordTokens:
     """Token ids of texts by a tokenizer that drops blanks between words.
 
-    Where that holds, words that were seen lately are not tokenized again; other
-    tokenizers get whole texts.
+    Where that holds, texts are cut at ASCII blanks, and words that were seen lately are
+    not tokenized again; other tokenizers get whole texts.
     """
 
     def __init__(self, path: str):
@@ -63,17 +63,6 @@ class WordTokens:
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _words(self, text: str) -> list[str]:
-        """A text cut at ASCII blanks, in lower case where that is the same to the
-        tokenizer: for ASCII, without special tokens, which it looks for as they are written."""
-        for blank in _BLANKS:
-            text = text.replace(blank, " ")
-        if text.isascii():
-            low = text.lower()
-            if not any(s in low for s in self.special):
-                text = low
-        return text.split(" ")
-
     def _learn(self, new: list[str]) -> None:
         for at in range(0, len(new), TOGETHER):
             some = new[at : at + TOGETHER]
@@ -84,18 +73,42 @@ class WordTokens:
             ends = 4 * np.searchsorted(begins, blanks)
             self.seen.update(zip(some, [ids[i:j] for i, j in zip([0, *ends.tolist()], ends.tolist())]))
 
-    def texts(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if not self.by_word:
-            return [self._ids(t or "") for t in texts]
-        split = [self._words(t or "") for t in texts]
+    def _known(self, words: list[str]) -> list[bytes]:
+        """The ids of different words, in lower case where that is the same to the tokenizer:
+        for ASCII, without special tokens, which it looks for as they are written."""
+        for i, word in enumerate(words):
+            low = word.lower()
+            if low != word and word.isascii() and not any(s in low for s in self.special):
+                words[i] = low
         if len(self.seen) > WORDS:
             self.seen, self.before = {}, self.seen
-        new = set().union(*split).difference(self.seen)
-        known = new.intersection(self.before)
-        self.seen.update((w, self.before[w]) for w in known)
-        self._learn(sorted(new - known))
-        return [b"".join(map(self.seen.__getitem__, words)) for words in split]
+        new = []
+        for word in words:
+            if word not in self.seen:
+                own = self.before.get(word)
+                self.seen[word] = own
+                if own is None:
+                    new.append(word)
+        self._learn(new)
+        return list(map(self.seen.__getitem__, words))
+
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts together, as unsigned 32-bit numbers, and where each text ends."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_word:
+            each = [self._ids(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(each), "<u4"), np.cumsum([len(x) // 4 for x in each], dtype=np.int64)
+        words = pc.ascii_split_whitespace(texts)
+        places = words.flatten().dictionary_encode()
+        each = self._known(places.dictionary.to_pylist())
+        size = np.array([len(x) // 4 for x in each], np.int64)
+        begin = np.cumsum(size) - size
+        at = places.indices.to_numpy()
+        ends = np.cumsum(size[at])
+        # for each id its place among those of the different words
+        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[at] - ends + size[at], size[at])
+        text_ends = np.append(0, ends)[np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)]
+        return np.frombuffer(b"".join(each), "<u4")[source], text_ends
 
 
 def _drops_blanks(setup: dict) -> bool:
@@ -228,15 +241,17 @@ def pack_online(
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, packer = _tokens(tokenizer_path), SumOfSquares(capacity, most_open)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         next_id = TaskContext.get().partitionId() << 40
         id_type = None
-        for batch in parts(batches, ROWS):
+        for batch in parts_by_size(batches, 1, PART):
             id_type = batch.schema.field(0).type
-            ids = batch.column(0).to_pylist()
-            for row, raw in zip(ids, tokens.texts(batch.column(1).to_pylist())):
-                own = np.frombuffer(raw + end, "<u4")
+            ids, ends = tokens.of_texts(batch.column(1))
+            begin = 0
+            for row, to in zip(batch.column(0).to_pylist(), ends.tolist()):
+                own = np.append(ids[begin:to], end)
                 packer.add((row, len(own)), own)
+                begin = to
             yield from fetch(packer, next_id, id_type)
             next_id += len(packer.done)
             packer.done = []
