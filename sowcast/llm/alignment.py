@@ -27,10 +27,10 @@ import json
 import re
 from collections.abc import Iterator
 from itertools import chain
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,17 +40,13 @@ from sowcast.sources.scratch import stored
 #: begins a segment, together with the space: what is before is not blank, nor all that follows
 _CUT = re.compile(r"(?<=\S) (?=\s*\S)")
 SEGMENTS = 250_000  # of one generation of those kept in memory, of which there are two
-TOGETHER = 1000  # new segments that are tokenized in one call
+TOGETHER = 300  # new segments that are tokenized in one call
 ROWS = 500  # of a batch that are held as Python strings at once
 
 
-class Segment(NamedTuple):
-    """What a text takes over from one of its segments."""
-
-    links: bytes  # numbers of pairs, as int32
-    groups: str  # as in the digest
-    n_a: int
-    n_b: int
+#: what a text takes over from one of its segments: the numbers of its linked pairs, as
+#: int32, its groups as in the digest, and its numbers of tokens of A and B
+Segment = tuple[bytes, bytes, int, int]
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -138,7 +134,7 @@ class Aligner:
 
     def b_spans(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """The same of B, whose spans do not count the space that it adds."""
-        pieces = self.b.encode(text, return_type="proto").pieces
+        pieces = list(self.b.encode(text, return_type="proto").pieces)
         ids = [p.id for p in pieces]
         if b"".join(map(self.b_bytes.__getitem__, ids)) != (" " + text).encode():
             return None
@@ -162,33 +158,49 @@ class Aligner:
         a_ids, a_ends, b_ids, b_ends = found
         a_last = np.flatnonzero(np.isin(a_ends, b_ends, assume_unique=True))
         b_last = np.flatnonzero(np.isin(b_ends, a_ends, assume_unique=True))
-        pair = np.searchsorted(self.keys, a_ids[a_last] * len(self.b_bytes) + b_ids[b_last]).astype(np.int32)
-        a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        # the ids of groups of one token each as they are, of the others joined
-        single = (np.diff(a_last, prepend=-1) == 1) & (np.diff(b_last, prepend=-1) == 1)
-        groups = [f"{a_text[k]}|{b_text[m]}" for k, m in zip(a_last.tolist(), b_last.tolist())]
-        for g in np.flatnonzero(~single).tolist():
-            i, j = (a_last[g - 1] + 1, b_last[g - 1] + 1) if g else (0, 0)
-            groups[g] = f"{','.join(a_text[i : a_last[g] + 1])}|{','.join(b_text[j : b_last[g] + 1])}"
-        out, before = [], (0, 0, 0)
-        for now in zip(*(np.searchsorted(x, ends, "right").tolist() for x in (a_ends[a_last], a_ends, b_ends))):
-            g, h = before[0], now[0]
-            out.append(Segment(pair[g:h].tobytes(), ";".join(groups[g:h]), now[1] - before[1], now[2] - before[2]))
-            before = now
-        return out
+        cuts = a_ends[a_last]
+        pair = np.searchsorted(self.keys, a_ids[a_last] * len(self.b_bytes) + b_ids[b_last]).astype(np.int32).tobytes()
+        # the digest's text: of each group A's ids, then B's, each with what stands behind it
+        n_a, n_b = np.append(0, a_last + 1), np.append(0, b_last + 1)
+        a_at = np.arange(len(a_ids)) + n_b[np.searchsorted(cuts, a_ends)]
+        b_at = np.arange(len(b_ids)) + n_a[np.searchsorted(cuts, b_ends) + 1]
+        ids = np.empty(len(a_ids) + len(b_ids), np.int64)
+        ids[a_at], ids[b_at] = a_ids, b_ids
+        behind = np.zeros(len(ids), np.int8)
+        behind[a_at[a_last]], behind[b_at[b_last]] = 1, 2
+        written = pc.binary_join_element_wise(pc.cast(pa.array(ids), pa.string()), pa.array([",", "|", ";"]).take(pa.array(behind)), "")
+        to = np.frombuffer(written.buffers()[1], np.int32)[: len(ids) + 1]
+        raw = written.buffers()[2].to_pybytes()
+        groups = np.searchsorted(cuts, ends, "right")
+        a_to, b_to = np.searchsorted(a_ends, ends, "right"), np.searchsorted(b_ends, ends, "right")
+        text_to = to[a_to + b_to]
+        return [
+            (pair[4 * g : 4 * h], raw[i : j - 1], a, b)
+            for g, h, i, j, a, b in zip(
+                *(x.tolist() for x in (np.append(0, groups[:-1]), groups, np.append(0, text_to[:-1]), text_to, np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)))
+            )
+        ]
 
     def _learn(self, new: list[str]) -> None:
         """Align segments. Those that end in something that is not blank go together."""
-        for at in range(0, len(new), TOGETHER):
-            some = new[at : at + TOGETHER]
-            together = [s for s in some if not s[-1].isspace()]
-            found = self.spans(" ".join(together)) if together else None
-            if found:
-                ends = np.cumsum([len(s.encode()) + 1 for s in together])
-                self.seen.update(zip(together, self._segments(found, ends)))
-            for s in some:
-                if not found or s[-1].isspace():
-                    self.seen[s] = self.whole(s)
+        alone = [s for s in new if s[-1].isspace()]
+        together = [s for s in new if not s[-1].isspace()]
+        some, spans, size = [], [], 0
+        for at in range(0, len(together), TOGETHER):
+            own = together[at : at + TOGETHER]
+            text = " ".join(own)
+            found = self.spans(text)
+            if not found:
+                alone += own
+                continue
+            some += own
+            spans.append([x + size * (n % 2) for n, x in enumerate(found)])
+            size += len(text.encode()) + 1
+        if some:
+            ends = np.cumsum([len(s.encode()) + 1 for s in some])
+            self.seen.update(zip(some, self._segments([np.concatenate(x) for x in zip(*spans)], ends)))
+        for s in alone:
+            self.seen[s] = self.whole(s)
 
     def texts(self, texts: list[str | None]) -> list[Segment | None]:
         """Each text aligned; None for those without tokens."""
@@ -200,7 +212,7 @@ class Aligner:
         new = set().union(*split).difference(self.seen)
         known = new.intersection(self.before)
         self.seen.update((s, self.before[s]) for s in known)
-        self._learn(sorted(new - known))
+        self._learn(list(new - known))
         out: list[Segment | None] = []
         for text, segments in zip(texts, split):
             own = [self.seen[s] for s in segments]
@@ -210,7 +222,7 @@ class Aligner:
                 out.append(self.whole(text))
             else:
                 links, groups, n_a, n_b = zip(*own)
-                out.append(Segment(b"".join(links), ";".join(groups), sum(n_a), sum(n_b)))
+                out.append((b"".join(links), b";".join(groups), sum(n_a), sum(n_b)))
         return out
 
 
@@ -244,16 +256,17 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id"
         both = aligner(a_path, b_path)
         for batch in parts(batches, ROWS):
             found = both.texts(batch.column(1).to_pylist())
-            links = [np.frombuffer(s.links, np.int32) if s else np.zeros(0, np.int32) for s in found]
+            found = [s or (b"", b"", 0, 0) for s in found]
+            links = [np.frombuffer(s[0], np.int32) for s in found]
             n = np.array([len(x) for x in links], np.int64)
             offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([s.n_a if s else 0 for s in found], pa.int64()),
-                    pa.array([s.n_b if s else 0 for s in found], pa.int64()),
+                    pa.array([s[2] for s in found], pa.int64()),
+                    pa.array([s[3] for s in found], pa.int64()),
                     pa.array(n),
-                    pa.array([hashlib.sha256(s.groups.encode()).hexdigest() if s else "" for s in found], pa.string()),
+                    pa.array([hashlib.sha256(s[1]).hexdigest() if s[1] else "" for s in found], pa.string()),
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(links))),
                 ],
                 names=["id", "n_a", "n_b", "n_groups", "groups_sha256", "links"],
