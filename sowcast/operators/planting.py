@@ -1,5 +1,7 @@
 """Planting windows per city and plant group."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,22 +20,50 @@ def plant_groups(plants: DataFrame) -> DataFrame:
     )
 
 
-def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int) -> DataFrame:
-    """Outdoor start per city and group, with the days from it on that set a new high.
+_MOST_DAYS = 1 << 24  # of a city; only bounds how far the widths below go
+
+
+def _widths(size: Column) -> Column:
+    """Powers of two up to a size, largest first."""
+    powers = F.array(*[F.lit(1 << n) for n in reversed(range(_MOST_DAYS.bit_length()))])
+    return F.filter(powers, lambda width: width <= size)
+
+
+def _skip(widths: Column | str, begin: Column, passes: Callable[[Column, Column], Column]) -> Column:
+    """The first place, from ``begin`` on, at which a search stops: it steps over a stretch
+    of each width, largest first, of which ``passes(place, width)`` says that it holds nothing."""
+    return F.aggregate(widths, begin, lambda at, width: at + F.when(passes(at, width), width).otherwise(F.lit(0)))
+
+
+def _block_maxima(highs: Column) -> Column:
+    """The largest of every stretch of 1, 2, 4, ... values, the widest stretches first:
+    ``tops[i]`` of a level is the largest of the ``width`` values from i on."""
+    single = F.array(F.struct(F.lit(1).alias("width"), highs.alias("tops")))
+    wider = F.filter(F.reverse(_widths(F.size(highs))), lambda width: width > 1)
+
+    def widen(levels: Column, width: Column) -> Column:
+        tops, half = F.get(levels, F.lit(0))["tops"], (width / 2).cast("int")
+        places = F.sequence(F.lit(0), F.size(tops) - half - 1)
+        both = F.transform(places, lambda i: F.greatest(F.get(tops, i), F.get(tops, i + half)))
+        return F.concat(F.array(F.struct(width.alias("width"), both.alias("tops"))), levels)
 
-    Only days on which the soil reaches a new high can be a start, and such a
-    day answers exactly the minimums from the previous high up to its own
-    temperature. So each city's days become a few disjoint temperature
-    intervals, and a group falls into one of them at most. Intervals and groups
-    meet by an equi-join on a temperature bucket; every pair that passes the
-    bounds is a result row, so cities, days and groups are never multiplied out.
+    return F.aggregate(wider, single, widen)
 
-    Buckets are bounded by quantiles of the groups' minimums, so that each holds
-    about as many groups, whatever their spread.
 
-    A start's first day hotter than some maximum is one that is hotter than all days
-    before it since the start. Only such days stay, and only those between the
-    groups' lowest and highest maximum: a few per start, instead of the year.
+def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, buckets: int) -> DataFrame:
+    """Outdoor start per city and group, with what tells the city's hot days apart.
+
+    Each city's days become one row. Only days on which the soil is warmer than ever
+    before can be a start, and the start for a minimum is the first of them above it:
+    their temperatures rise, so it is found by halving. Cities and groups meet by an
+    equi-join on a temperature bucket, for the buckets that a city's soil reaches; every
+    pair that is warm enough is a result row, so that cities, days and groups are never
+    multiplied out. Buckets are bounded by quantiles of the groups' minimums, so that
+    each holds about as many groups, whatever their spread.
+
+    ``hot`` are the days that are hotter than the least demanding maximum, in order, and
+    ``maxima`` their block maxima by powers of two, from which the first day above any
+    maximum, from any day on, is found in as many steps as the number of days has digits.
     """
     minimum = F.col("avg_min_viable_temp")
     soil = F.col("avg_shallow_soil_temp")
@@ -41,57 +71,50 @@ def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, bucket
     lowest = groups.select(F.min(minimum)).scalar()
     highest = groups.select(F.max(minimum)).scalar()
     smallest_maximum = groups.select(F.min("avg_max_viable_temp")).scalar()
-    largest_maximum = groups.select(F.max("avg_max_viable_temp")).scalar()
     shares = F.array(*[F.lit(n / buckets) for n in range(1, buckets)]).cast("array<double>")
     bounds = groups.select(F.percentile_approx(minimum, shares)).scalar() if buckets > 1 else shares
 
     def bucket(temp: Column) -> Column:
         return F.size(F.filter("bounds", lambda bound: bound <= temp))
 
-    def rising(days: Column) -> Column:
-        nothing = F.array().cast("array<struct<date:date,high:double>>")
-
-        def higher(kept: Column, day: Column) -> Column:
-            top = F.get(kept, F.size(kept) - 1)["high"]
-            goes_on = top.isNull() | ((top < day["high"]) & (top <= F.col("largest_maximum")))
-            return F.when(goes_on, F.array_append(kept, day)).otherwise(kept)
-
-        return F.aggregate(days, nothing, higher)
-
     # One row per city and day, however often the input repeats a day: the
     # highest reading decides whether a bound was passed.
     days = daily.groupBy("city", "date").agg(
         F.max(soil).alias("avg_shallow_soil_temp"), F.max(high).alias("avg_max_temp")
     )
     city_days = Window.partitionBy("city").orderBy("date")
-    earlier = city_days.rowsBetween(Window.unboundedPreceding, -1)
-    whole_year = city_days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    steps = (
+    warmest_before = F.max(soil).over(city_days.rowsBetween(Window.unboundedPreceding, -1))
+    new_top = soil.isNotNull() & (F.col("warmest_before").isNull() | (soil > F.col("warmest_before")))
+    is_hot = F.coalesce(high > smallest_maximum, F.lit(False))
+    # in order, each list by itself, so that what is not asked for is not computed
+    tops = F.sort_array(F.collect_list(F.when(new_top, F.struct("date", soil.alias("soil")))))
+    hot = F.sort_array(F.collect_list(F.when(is_hot, F.struct("date", high.alias("high")))))
+    cities = (
         days.join(freeze_dates.select("city", "avg_last_freeze_all_time"), "city")
         .where(F.col("date") > F.col("avg_last_freeze_all_time"))
-        .withColumn("hot", F.when(high > smallest_maximum, F.struct("date", high.alias("high"))))
-        .withColumn("warmest_before", F.max(soil).over(earlier))
-        .withColumn("hot_days", F.collect_list("hot").over(whole_year))  # in the order of the window
-        .where(soil.isNotNull() & (F.col("warmest_before").isNull() | (soil > F.col("warmest_before"))))
-        .withColumn("largest_maximum", largest_maximum)
-        .select(
-            "city",
-            F.col("date").alias("outdoor_start"),
-            rising(F.filter("hot_days", lambda day: day["date"] >= F.col("date"))).alias("new_highs"),
-            soil.alias("step_top"),
-            F.greatest(F.coalesce("warmest_before", lowest), lowest).alias("step_bottom"),
-        )
+        .withColumn("warmest_before", warmest_before)
+        .groupBy("city")
+        .agg(tops.alias("tops"), hot.alias("hot"))
+        .withColumn("top", F.get("tops", F.size("tops") - 1)["soil"])
+        .where(F.col("top") > lowest)
+        .withColumn("widths", _widths(F.size("tops")))
+        .withColumn("hot_widths", _widths(F.size("hot")))
+        .withColumn("maxima", _block_maxima(F.col("hot")["high"]))
     )
     covered = (
-        steps.where(F.col("step_bottom") <= F.least(F.col("step_top"), highest))
-        .withColumn("top", F.least(F.col("step_top"), highest))
+        cities.withColumn("lowest", lowest)
+        .withColumn("highest", F.least("top", highest))
         .withColumn("bounds", bounds)
-        .withColumn("bucket", F.explode(F.sequence(bucket(F.col("step_bottom")), bucket(F.col("top")))))
-        .drop("top", "bounds")
+        .withColumn("bucket", F.explode(F.sequence(bucket(F.col("lowest")), bucket(F.col("highest")))))
+        .drop("lowest", "highest", "bounds")
     )
     dealt = groups.withColumn("bounds", bounds).withColumn("bucket", bucket(minimum)).drop("bounds")
-    inside_step = (minimum >= F.col("step_bottom")) & (minimum < F.col("step_top"))
-    return covered.join(dealt, "bucket").where(inside_step)
+    colder = _skip("widths", F.lit(0), lambda at, width: F.get("tops", at + width - 1)["soil"] <= minimum)
+    return (
+        covered.join(dealt, "bucket")
+        .where(minimum < F.col("top"))
+        .withColumn("outdoor_start", F.get("tops", colder)["date"])
+    )
 
 
 _START_COLUMNS = (
@@ -120,11 +143,16 @@ def temperature_limit(
 ) -> DataFrame:
     """Outdoor starts with the first day, from the start on, whose mean high is
     above the group's maximum; null if it never gets that hot."""
-    too_hot = F.filter("new_highs", lambda day: day["high"] > F.col("avg_max_viable_temp"))
-    first = F.get(too_hot, F.lit(0))["date"]
-    return _starts(daily, freeze_dates, groups, buckets).select(
-        *_START_COLUMNS, first.alias("temp_limit_date")
+    maximum = F.col("avg_max_viable_temp")
+    begin = _skip("hot_widths", F.lit(0), lambda at, width: F.get("hot", at + width - 1)["date"] < F.col("outdoor_start"))
+    first = F.aggregate(
+        "maxima",
+        F.col("begin"),
+        lambda at, level: at + F.when(F.get(level["tops"], at) <= maximum, level["width"]).otherwise(F.lit(0)),
     )
+    starts = _starts(daily, freeze_dates, groups, buckets).withColumn("begin", begin)
+    limit = F.when(maximum.isNotNull(), F.get("hot", first)["date"])
+    return starts.select(*_START_COLUMNS, limit.alias("temp_limit_date"))
 
 
 def planting_windows(limits: DataFrame) -> DataFrame:

@@ -103,6 +103,20 @@ class Inputs:
             _clock(dusk - rise, "H:mm:ss").alias("day_length"),
         )
 
+    @cached_property
+    def smooth_daily(self) -> DataFrame:
+        """Daily climate that rises and falls with the year, as means over many years do:
+        nearly every day up to the summer is the warmest so far."""
+        from_summer = F.abs(F.dayofyear("date") - 200)
+        squared = from_summer * from_summer
+        station = self.sun.join(self.stations.select("city", "s_nationkey"), "city")
+        return station.select(
+            "city",
+            "date",
+            (F.lit(95) + F.col("s_nationkey") - F.floor(squared / 64) / 8).alias("avg_max_temp"),
+            (F.lit(98) - F.floor(squared / 80) / 8).alias("avg_shallow_soil_temp"),
+        )
+
     @cached_property
     def landed_sun(self) -> DataFrame:
         """Sun times as a service sends them, in 12-hour text under its own names."""

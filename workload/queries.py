@@ -102,6 +102,12 @@ def planting_windows(i: Inputs) -> DataFrame:
     return planting.planting_calendar(daily_data(i), avg_freeze_dates(i), i.plants)
 
 
+@query
+def planting_windows_smooth(i: Inputs) -> DataFrame:
+    """Planting windows in a climate whose highs rise day by day up to the summer."""
+    return planting.planting_calendar(i.smooth_daily, avg_freeze_dates(i), i.plants)
+
+
 # conditions
 
 
