@@ -77,3 +77,10 @@ DISPLAY_ORDER = {
 def for_display(df: DataFrame, dataset: str) -> DataFrame:
     """The dataset in the order in which it is shown."""
     return df.orderBy(*DISPLAY_ORDER[dataset])
+
+
+def with_display_place(df: DataFrame, dataset: str) -> DataFrame:
+    """The dataset with ``place``, from 1, of each row among its city's in the order in
+    which they are shown. Cities are numbered each by itself, so none waits for all."""
+    city, *order = DISPLAY_ORDER[dataset]
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(city).orderBy(*order)))

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
 
 from sowcast.functions.calendar import AsOf
+from sowcast.operators.catalogue import filter_options
 from sowcast.operators.climate import daily_climatology, daily_data
 from sowcast.operators.freeze import average_freeze_dates, freeze_by_year
 from sowcast.operators.planting import planting_calendar
-from sowcast.operators.relational import row_counts
 from sowcast.operators.weather import daily_weather, irrigation_tracker
 from sowcast.sources.payloads import read_forecast, read_history, read_sun
-from sowcast.sources.snapshots import Version, new_run_id, publish, read_all_published, write_version
+from sowcast.sources.snapshots import Version, new_run_id, publish, published_counts, read_all_published, read_published, write_version
 
 AUDITED = (
     "six_weeks_weather",
@@ -29,6 +29,7 @@ AUDITED = (
     "plants",
 )
 BY_CITY_AND_DAY = ("city", "date")
+FILTER_OPTIONS = "filter_options"  # a row for each value that users can filter by
 
 # What ingests land for the next rebuild, under names of their own: the tables that
 # users read change with those built from them.
@@ -66,7 +67,8 @@ def full_rebuild(
     plants: DataFrame,
     as_of: AsOf = None,
 ) -> None:
-    """Build all ten tables in dependency order and publish them together.
+    """Build all ten tables, and the list of filter options, in dependency order and
+    publish them together.
 
     Tables that do not depend on each other are built at the same time, so that
     the last tasks of one leave no executors idle.
@@ -90,11 +92,12 @@ def full_rebuild(
         )
         climatology = build.put("avg_temp_daily", daily_climatology(observed, as_of), sort_by=BY_CITY_AND_DAY)
         daily = build.put("daily_data", daily_data(sun_table.result(), climatology), sort_by=BY_CITY_AND_DAY)
-        build.put(
+        windows = build.put(
             "planting_gantt",
             planting_calendar(daily, freezes.result(), plants_table.result()),
             sort_by=("city", "growing_season", "harvest_type"),
         )
+        build.put(FILTER_OPTIONS, filter_options(windows.select("city"), plants_table.result()))
         weather.result()
     build.publish()
 
@@ -139,5 +142,23 @@ def refresh_forecast(spark: SparkSession, root: str, landed: str, multi_line: bo
 
 
 def build_audit(spark: SparkSession, root: str) -> DataFrame:
-    """Number of rows of each published table that users query, at one moment."""
-    return row_counts(read_all_published(spark, root, AUDITED))
+    """Number of rows of each published table that users query, at one moment. They were
+    counted when the tables were written; no table is read."""
+    return published_counts(spark, root, AUDITED)
+
+
+def stored_filter_options(spark: SparkSession, root: str) -> DataFrame:
+    """What users can filter by, in order, from the list that the last rebuild stored."""
+    return read_published(spark, root, FILTER_OPTIONS).orderBy("filter", "value")
+
+
+def add_plants(spark: SparkSession, root: str, plants: DataFrame) -> None:
+    """Publish further plants, together with the filter options that they bring: the stored
+    list is united with theirs, and no other table is read. Windows of new groups come with
+    the next rebuild."""
+    current = read_all_published(spark, root, ["plants", FILTER_OPTIONS])
+    build = _Build(spark, root)
+    build.put("plants", current["plants"].unionByName(plants))
+    options = current[FILTER_OPTIONS].union(filter_options(spark.createDataFrame([], "city STRING"), plants))
+    build.put(FILTER_OPTIONS, options.distinct().orderBy("filter", "value"))
+    build.publish()

@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sowcast.operators.relational import row_counts
 from sowcast.sources.tables import read_csv, read_table, write_csv, write_table
 
-_LOG_SCHEMA = "sequence LONG, table_name STRING, format STRING, schema STRING, path STRING"
+_LOG_SCHEMA = "sequence LONG, table_name STRING, format STRING, schema STRING, path STRING, row_count LONG"
 
 
 @dataclass(frozen=True)
@@ -29,6 +30,7 @@ class Version:
     path: str
     format: str
     schema: str
+    row_count: int | None = None  # counted while it was written; older logs do not tell
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.format == "csv":
@@ -43,14 +45,18 @@ def new_run_id() -> str:
 def write_version(
     df: DataFrame, root: str, table: str, run_id: str, format: str = "parquet", sort_by: Sequence[str] = ()
 ) -> Version:
-    """Write a version of a table without showing it to readers."""
+    """Write a version of a table without showing it to readers. Its rows are counted in
+    the same pass."""
     path = f"{root}/{table}/v={run_id}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    seen = Observation()
+    df = (df.sortWithinPartitions(*sort_by) if sort_by else df).observe(seen, F.count(F.lit(1)).alias("rows"))
     if format == "csv":
         write_csv(df, path)
     else:
-        write_table(df, path, sort_by)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return Version(table, path, format, columns)
+        write_table(df, path)
+    # nothing is observed of a plan that is known to be empty
+    return Version(table, path, format, columns, seen.get.get("rows", 0))
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
@@ -68,7 +74,7 @@ def publish(spark: SparkSession, root: str, versions: Sequence[Version]) -> None
     last = log.agg(F.max("sequence")).first()[0] if log is not None else None
     # by the clock, so that two publishers do not take the same number
     sequence = max((last or 0) + 1, time.time_ns())
-    _append(spark, root, [(sequence, v.table, v.format, v.schema, v.path) for v in versions])
+    _append(spark, root, [(sequence, v.table, v.format, v.schema, v.path, v.row_count) for v in versions])
 
 
 def _append(spark: SparkSession, root: str, lines: list[tuple]) -> None:
@@ -76,18 +82,32 @@ def _append(spark: SparkSession, root: str, lines: list[tuple]) -> None:
 
 
 def _newest(log: DataFrame) -> DataFrame:
-    latest = F.max(F.struct("sequence", "path", "format", "schema")).alias("v")
+    latest = F.max(F.struct("sequence", "path", "format", "schema", "row_count")).alias("v")
     return log.groupBy("table_name").agg(latest).select("table_name", "v.*")
 
 
 def read_all_published(spark: SparkSession, root: str, tables: Sequence[str]) -> dict[str, DataFrame]:
     """The versions of several tables that were current at one moment."""
+    return {t: version.read(spark) for t, version in _current(spark, root, tables).items()}
+
+
+def _current(spark: SparkSession, root: str, tables: Sequence[str]) -> dict[str, Version]:
     log = _log(spark, root)
     wanted = _newest(log.where(F.col("table_name").isin(list(tables)))).collect() if log is not None else []
-    found = {r.table_name: Version(r.table_name, r.path, r.format, r.schema) for r in wanted}
+    found = {r.table_name: Version(r.table_name, r.path, r.format, r.schema, r.row_count) for r in wanted}
     if missing := [t for t in tables if t not in found]:
         raise LookupError(f"no published version of {', '.join(missing)} under {root}")
-    return {t: found[t].read(spark) for t in tables}
+    return {t: found[t] for t in tables}
+
+
+def published_counts(spark: SparkSession, root: str, tables: Sequence[str]) -> DataFrame:
+    """``table_name`` and ``row_count`` of several tables at one moment, as the log tells;
+    only versions whose log does not tell are counted."""
+    current = _current(spark, root, tables)
+    told = [(t, v.row_count) for t, v in current.items() if v.row_count is not None]
+    counts = spark.createDataFrame(told, "table_name STRING, row_count LONG")
+    untold = {t: v.read(spark) for t, v in current.items() if v.row_count is None}
+    return counts.unionByName(row_counts(untold)) if untold else counts
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -102,7 +122,7 @@ def compact_log(spark: SparkSession, root: str) -> None:
     if log is None:
         return
     files = log.inputFiles()
-    lines = [(r.sequence, r.table_name, r.format, r.schema, r.path) for r in _newest(log).collect()]
+    lines = [(r.sequence, r.table_name, r.format, r.schema, r.path, r.row_count) for r in _newest(log).collect()]
     _append(spark, root, lines)
     for file in files:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)

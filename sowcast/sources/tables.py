@@ -1,22 +1,26 @@
 """CSV and Parquet tables.
 
 CSV columns are matched by name. Files whose header differs from that of the others
-are refused, or read by their own headers where ``mixed_headers`` is asked for. One
+are refused, or read by their own headers where ``mixed_headers`` is asked for; then
+files that lack a column are refused, by name. One
 line is one record, so that large files can be split; values with line breaks are
 refused by the writer and read only where ``multi_line`` is asked for, which reads
 each file in one task. A value that its column's type cannot hold is null, and
 :func:`unreadable_rows` tells which rows have some.
 """
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sowcast.functions.calendar import service_date
 from sowcast.functions.clock import clock_time
+from sowcast.operators.relational import keep_selected
 from sowcast.sources import schemas
 
 
@@ -39,16 +43,49 @@ def _with_schema(
     return reader.options(**options).schema(columns).csv(path).select(*types, _CORRUPT)
 
 
+def file_headers(spark: SparkSession, path: str | list[str]) -> dict[str, str]:
+    """The first line of every file that is not empty.
+
+    Each file, or part of one, is a task of its own here, which stops after the first
+    batch of lines; only the part that begins a file answers. So large files are not read.
+    """
+    probe = spark.newSession()  # whose settings can differ from the caller's
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            probe.conf.set(key, value)
+    probe.conf.set("spark.sql.files.openCostInBytes", probe.conf.get("spark.sql.files.maxPartitionBytes"))
+    first = F.struct("_metadata.file_path", "_metadata.file_block_start").alias("of")
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                of = batch.column(1)[0].as_py()
+                if of["file_block_start"] == 0:
+                    yield pa.RecordBatch.from_pydict({"file": [of["file_path"]], "header": [batch.column(0)[0].as_py()]})
+                return
+
+    lines = probe.read.text(path).select("value", first)
+    return dict(map(tuple, lines.mapInArrow(first_line, "file STRING, header STRING").collect()))
+
+
 def _by_header(spark: SparkSession, path: str | list[str], schema: str) -> dict[tuple[str, ...], list[str]]:
-    """The files of each header: lines that name all columns are headers. Reads the
-    input once more; the driver sees a line per file."""
+    """The files of each header. The driver sees a line per file, and names those files
+    to Spark's reader. Files that lack a column of the schema are refused."""
     wanted = StructType.fromDDL(schema).names
-    cells = F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), cells.alias("cells"))
-    has_all = F.size(F.array_intersect("cells", F.array(*[F.lit(n) for n in wanted]))) == len(wanted)
     files: dict[tuple[str, ...], list[str]] = {}
-    for row in lines.where(has_all).groupBy("file").agg(F.first("cells").alias("cells")).collect():
-        files.setdefault(tuple(row.cells), []).append(row.file)
+    lacking: list[str] = []
+    for file, line in file_headers(spark, path).items():
+        header = next(csv.reader([line.removeprefix("\ufeff")]), [])
+        names = tuple(name.strip() for name in header)
+        if absent := [name for name in wanted if name not in names]:
+            lacking.append(f"{file} lacks {', '.join(absent)}")
+        elif len(set(names)) < len(names):
+            lacking.append(f"{file} repeats a name")
+        else:
+            files.setdefault(names, []).append(file)
+    if lacking:
+        more = f" and {len(lacking) - 5} more files" if len(lacking) > 5 else ""
+        raise ValueError(f"headers that do not fit: {'; '.join(sorted(lacking)[:5])}{more}")
     return files
 
 
@@ -56,6 +93,8 @@ def _csv_rows(spark: SparkSession, path: str | list[str], schema: str, multi_lin
     if not mixed_headers:
         return _with_schema(spark, path, schema, multi_line)
     files = sorted(_by_header(spark, path, schema).items())
+    if not files:  # nothing but empty files
+        return spark.createDataFrame([], f"{schema}, {_CORRUPT} STRING")
     return reduce(DataFrame.union, [_with_schema(spark, f, schema, multi_line, h) for h, f in files])
 
 
@@ -132,6 +171,39 @@ def write_table(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     (df.sortWithinPartitions(*sort_by) if sort_by else df).write.mode("overwrite").parquet(path)
 
 
+CITY_PART = "city_part"
+
+
+def _city_part(city: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(city), F.lit(parts)).cast("int")
+
+
+def clustered_by_city(df: DataFrame, parts: int, order: Sequence[str] = ("date",)) -> DataFrame:
+    """The rows with ``city_part``, a hash of the city, dealt out and sorted by it, the city
+    and the order: each city lies in few tasks, and one that holds most rows in several."""
+    dealt = df.withColumn(CITY_PART, _city_part(F.col("city"), parts))
+    keys = [CITY_PART, "city", *order]
+    return dealt.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def write_by_city(df: DataFrame, path: str, parts: int = 64, order: Sequence[str] = ("date",)) -> None:
+    """Replace a Parquet table by one with a folder for each hash of the city, so that
+    questions about some cities read those folders only. Ranges need a sample of the
+    input, which is computed twice unless it is stored."""
+    clustered_by_city(df, parts, order).write.mode("overwrite").partitionBy(CITY_PART).parquet(path)
+
+
+def read_cities(spark: SparkSession, path: str, cities: DataFrame, schema: str, parts: int = 64) -> DataFrame:
+    """The rows of such a table for the cities of a selection, of any size. Folders in
+    which none of them can lie are not listed among the files to read: the driver asks
+    for the selection's folders first, of which there are ``parts`` at most."""
+    wanted = cities.select(_city_part(F.col("city"), parts)).distinct().collect()
+    columns = StructType.fromDDL(schema).names
+    table = spark.read.schema(f"{schema}, {CITY_PART} INT").parquet(path)
+    rows = table.where(F.col(CITY_PART).isin([r[0] for r in wanted])).select(*columns)
+    return keep_selected(rows, cities, ["city"])
+
+
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Parquet. Given a schema, no job is spent on reading file footers for it."""
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)

@@ -1,6 +1,7 @@
 """Payloads, CSV, published tables and the jobs on top of them."""
 
 import json
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -8,9 +9,11 @@ from helpers import day, days_from, plants, rows, weather
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sowcast.plans import jobs
+from sowcast.operators import catalogue, climate, freeze, planting
+from sowcast.plans import jobs, questions
 from sowcast.sources import payloads, schemas, snapshots, tables
 from sowcast.sources.scratch import drop_scratch, scratch_dir, scratch_root, stored
+from workload.bindings import AS_OF, Inputs
 
 
 def columnar(city, days=3, start="2026-02-02", **changes):
@@ -93,6 +96,82 @@ class TestPayloads:
         ]
 
 
+class TestCounts:
+    def test_rows_are_counted_in_the_writing_pass(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        some = spark.range(7).withColumn("city", F.lit("Bend"))
+        for n, (df, options) in enumerate([(some, {}), (some, {"format": "csv"}), (some, {"sort_by": ("id",)}), (some.where("id > 9"), {}), (some.where(F.lit(False)), {})]):
+            version = snapshots.write_version(df, root, f"t{n}", "run", **options)
+            assert version.row_count == df.count()
+            snapshots.publish(spark, root, [version])
+        counts = snapshots.published_counts(spark, root, [f"t{n}" for n in range(5)])
+        assert rows(counts) == [("t0", 7), ("t1", 7), ("t2", 7), ("t3", 0), ("t4", 0)]
+        assert "FileScan" not in counts._jdf.queryExecution().executedPlan().toString()
+
+    def test_versions_of_older_logs_are_counted(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        told = snapshots.write_version(spark.range(3), root, "t", "run")
+        snapshots.publish(spark, root, [snapshots.Version(told.table, told.path, told.format, told.schema)])
+        assert rows(snapshots.published_counts(spark, root, ["t"])) == [("t", 3)]
+
+
+class TestByCity:
+    SCHEMA = "city STRING, date DATE, n LONG"
+
+    @pytest.fixture
+    def table(self, spark):
+        days = spark.range(4000).select(
+            F.concat(F.lit("c"), F.least(F.col("id") % 60, F.lit(40)).cast("string")).alias("city"),  # c40 is hot
+            F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 60).cast("int")).alias("date"),
+            F.col("id").alias("n"),
+        )
+        return days.union(spark.createDataFrame([(None, None, -1)], "city STRING, date DATE, n LONG"))
+
+    def test_only_folders_of_the_cities_asked_for_are_read(self, spark, table, tmp_path):
+        path = str(tmp_path / "t")
+        tables.write_by_city(table, path, parts=16)
+        one = spark.createDataFrame([("c7",), ("c7",)], "city STRING")
+        got = tables.read_cities(spark, path, one, self.SCHEMA, parts=16)
+        assert rows(got) == rows(table.where("city = 'c7'")) and got.columns == ["city", "date", "n"]
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*city_part#\d+ = \d+", text)
+        read = got.select(F.input_file_name()).distinct().count()
+        assert read == 1  # of the folders of 16 hashes
+        every = tables.read_cities(spark, path, table.select("city"), self.SCHEMA, parts=16)
+        assert rows(every) == rows(table.where("city IS NOT NULL"))
+        assert tables.read_cities(spark, path, one.limit(0), self.SCHEMA, parts=16).count() == 0
+
+    def test_a_day_of_a_city_lies_in_one_file(self, spark, table, tmp_path):
+        path = str(tmp_path / "t")
+        tables.write_by_city(table, path, parts=4)
+        places = spark.read.parquet(path).select("city", "date", F.input_file_name().alias("file")).distinct()
+        assert places.groupBy("city", "date").count().where("count > 1").count() == 0
+
+    def test_windows_of_some_cities_are_those_of_all(self, spark):
+        i = Inputs(spark, "/root/testdata/sf0.001")
+        cities = i.stations.where("s_acctbal > 3000").select("city")
+        freezes = freeze.average_freeze_dates(freeze.freeze_by_year(i.history), AS_OF)
+        every = planting.planting_calendar(climate.daily_data(i.sun, climate.daily_climatology(i.history, AS_OF)), freezes, i.plants)
+        some = questions.windows_of_cities(i.history, i.sun, i.plants, cities.union(cities), AS_OF)
+        assert rows(some) == rows(every.join(cities, "city", "left_semi")) and not some.isEmpty()
+
+
+class TestFilterOptions:
+    def test_added_plants_unite_with_the_stored_list(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        kale = plants(spark, {}, {"common_name": "Chard"})
+        stored = [snapshots.write_version(kale, root, "plants", "r"), snapshots.write_version(catalogue.filter_options(spark.createDataFrame([("Bend",)], "city STRING"), kale), root, jobs.FILTER_OPTIONS, "r")]
+        snapshots.publish(spark, root, stored)
+        jobs.add_plants(spark, root, plants(spark, {"common_name": "Pea", "harvest_type": "Pod"}, {"common_name": "Beet"}))
+        assert [tuple(r) for r in jobs.stored_filter_options(spark, root).collect()] == [
+            ("city", "Bend"),
+            ("growing_season", "Cool Season"),
+            ("harvest_type", "Leaf"),
+            ("harvest_type", "Pod"),
+        ]
+        assert snapshots.read_published(spark, root, "plants").count() == 4
+
+
 class TestCsv:
     def test_columns_are_found_by_name(self, spark, tmp_path):
         path = land(tmp_path / "in", "city,extra,date,precipitation,temp_min,temp_max", "Bend,x,2026-02-02,,30,50.5")
@@ -209,6 +288,83 @@ class TestSnapshots:
         assert snapshots.read_published(spark, root, "t").count() == 4
 
 
+class TestCounts:
+    def test_rows_are_counted_in_the_writing_pass(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        some = spark.range(7).withColumn("city", F.lit("Bend"))
+        for n, (df, options) in enumerate([(some, {}), (some, {"format": "csv"}), (some, {"sort_by": ("id",)}), (some.where("id > 9"), {}), (some.where(F.lit(False)), {})]):
+            version = snapshots.write_version(df, root, f"t{n}", "run", **options)
+            assert version.row_count == df.count()
+            snapshots.publish(spark, root, [version])
+        counts = snapshots.published_counts(spark, root, [f"t{n}" for n in range(5)])
+        assert rows(counts) == [("t0", 7), ("t1", 7), ("t2", 7), ("t3", 0), ("t4", 0)]
+        assert "FileScan" not in counts._jdf.queryExecution().executedPlan().toString()
+
+    def test_versions_of_older_logs_are_counted(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        told = snapshots.write_version(spark.range(3), root, "t", "run")
+        snapshots.publish(spark, root, [snapshots.Version(told.table, told.path, told.format, told.schema)])
+        assert rows(snapshots.published_counts(spark, root, ["t"])) == [("t", 3)]
+
+
+class TestByCity:
+    SCHEMA = "city STRING, date DATE, n LONG"
+
+    @pytest.fixture
+    def table(self, spark):
+        days = spark.range(4000).select(
+            F.concat(F.lit("c"), F.least(F.col("id") % 60, F.lit(40)).cast("string")).alias("city"),  # c40 is hot
+            F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 60).cast("int")).alias("date"),
+            F.col("id").alias("n"),
+        )
+        return days.union(spark.createDataFrame([(None, None, -1)], "city STRING, date DATE, n LONG"))
+
+    def test_only_folders_of_the_cities_asked_for_are_read(self, spark, table, tmp_path):
+        path = str(tmp_path / "t")
+        tables.write_by_city(table, path, parts=16)
+        one = spark.createDataFrame([("c7",), ("c7",)], "city STRING")
+        got = tables.read_cities(spark, path, one, self.SCHEMA, parts=16)
+        assert rows(got) == rows(table.where("city = 'c7'")) and got.columns == ["city", "date", "n"]
+        assert len({f.split("/")[-2] for f in spark.read.parquet(path).where("city_part = 3").select(F.input_file_name()).distinct().toPandas().iloc[:, 0]}) == 1
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*city_part#\d+ = \d+", text)
+        read = got.select(F.input_file_name()).distinct().count()
+        assert read == 1  # of the folders of 16 hashes
+        every = tables.read_cities(spark, path, table.select("city"), self.SCHEMA, parts=16)
+        assert rows(every) == rows(table.where("city IS NOT NULL"))
+        assert tables.read_cities(spark, path, one.limit(0), self.SCHEMA, parts=16).count() == 0
+
+    def test_a_day_of_a_city_lies_in_one_file(self, spark, table, tmp_path):
+        path = str(tmp_path / "t")
+        tables.write_by_city(table, path, parts=4)
+        places = spark.read.parquet(path).select("city", "date", F.input_file_name().alias("file")).distinct()
+        assert places.groupBy("city", "date").count().where("count > 1").count() == 0
+
+    def test_windows_of_some_cities_are_those_of_all(self, spark):
+        i = Inputs(spark, "/root/testdata/sf0.001")
+        cities = i.stations.where("s_acctbal > 3000").select("city")
+        freezes = freeze.average_freeze_dates(freeze.freeze_by_year(i.history), AS_OF)
+        every = planting.planting_calendar(climate.daily_data(i.sun, climate.daily_climatology(i.history, AS_OF)), freezes, i.plants)
+        some = questions.windows_of_cities(i.history, i.sun, i.plants, cities.union(cities), AS_OF)
+        assert rows(some) == rows(every.join(cities, "city", "left_semi")) and not some.isEmpty()
+
+
+class TestFilterOptions:
+    def test_added_plants_unite_with_the_stored_list(self, spark, tmp_path):
+        root = str(tmp_path / "root")
+        kale = plants(spark, {}, {"common_name": "Chard"})
+        stored = [snapshots.write_version(kale, root, "plants", "r"), snapshots.write_version(catalogue.filter_options(spark.createDataFrame([("Bend",)], "city STRING"), kale), root, jobs.FILTER_OPTIONS, "r")]
+        snapshots.publish(spark, root, stored)
+        jobs.add_plants(spark, root, plants(spark, {"common_name": "Pea", "harvest_type": "Pod"}, {"common_name": "Beet"}))
+        assert [tuple(r) for r in jobs.stored_filter_options(spark, root).collect()] == [
+            ("city", "Bend"),
+            ("growing_season", "Cool Season"),
+            ("harvest_type", "Leaf"),
+            ("harvest_type", "Pod"),
+        ]
+        assert snapshots.read_published(spark, root, "plants").count() == 4
+
+
 class TestCsv:
     COLUMNS = "date DATE, temp_max DOUBLE, city STRING"
 
@@ -224,6 +380,32 @@ class TestCsv:
         got = tables.read_csv(spark, path, self.COLUMNS, mixed_headers=True)
         assert rows(got) == [(day("2026-01-01"), 1.5, "Bend"), (day("2026-01-02"), 2.5, "Salem")]
 
+    def test_files_that_lack_a_column_are_refused(self, spark, tmp_path):
+        path = self.files(tmp_path, "date,temp_max,city\n2026-01-01,1.5,Bend\n", "date,city\n2026-01-02,Salem\n", "date,date,temp_max,city\n", "")
+        with pytest.raises(ValueError, match="1.csv lacks temp_max; .*2.csv repeats a name"):
+            tables.read_csv(spark, path, self.COLUMNS, mixed_headers=True)
+
+    def test_headers_with_commas_in_names_and_lines_that_look_like_headers(self, spark, tmp_path):
+        second = '"city","max, daily",temp_max,date\nBend,1,2.5,2026-01-02\n"city","date","temp_max",x\n'
+        path = self.files(tmp_path, "\ufeffdate,temp_max,city\n2026-01-01,1.5,Bend\ndate,temp_max,city\n", second)
+        got = tables.read_csv(spark, path, self.COLUMNS, mixed_headers=True).where("date IS NOT NULL")
+        assert rows(got) == [(day("2026-01-01"), 1.5, "Bend"), (day("2026-01-02"), 2.5, "Bend")]
+
+    def test_empty_files_have_no_rows(self, spark, tmp_path):
+        got = tables.read_csv(spark, self.files(tmp_path, "", ""), self.COLUMNS, mixed_headers=True)
+        assert got.count() == 0 and got.columns == ["date", "temp_max", "city"]
+
+    def test_headers_come_from_the_beginnings_of_files_only(self, spark, tmp_path):
+        path = self.files(tmp_path, "date,temp_max,city\n" + "2026-01-01,1.5,Bend\n" * 2000, "city,date,temp_max\n")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # the first file is cut
+        try:
+            headers = tables.file_headers(spark, path)
+            openings = spark.conf.get("spark.sql.files.openCostInBytes")
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert sorted(headers.values()) == ["city,date,temp_max", "date,temp_max,city"]
+        assert openings != "4k"  # the caller's setting stays
+
     def test_values_that_cannot_be_read_are_told(self, spark, tmp_path):
         path = self.files(tmp_path, "date,temp_max,city\n2026-01-01,abc,Bend\n2026-01-02,,Bend\nsoon,3,Bend\n")
         assert rows(tables.read_csv(spark, path, self.COLUMNS), "temp_max") == [(3.0,), (None,), (None,)]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sowcast.operators import catalogue, climate, conditions, freeze, planting, relational, weather
-from sowcast.plans import jobs
+from sowcast.plans import jobs, questions
 from sowcast.sources import payloads, schemas, snapshots, tables
 from sowcast.sources.scratch import scratch_dir
 from workload.bindings import AS_OF, Inputs
@@ -203,10 +203,23 @@ def selection_semi_join(i: Inputs) -> DataFrame:
 
 @query
 def picked_plants(i: Inputs) -> DataFrame:
-    """The segments of a few plants that a user picked in two cities."""
-    cities = [f"Supplier#{n:09d}" for n in (3, 7)]
-    names = [r[0] for r in i.plants.orderBy("common_name").select("common_name").limit(5).collect()]
-    return relational.select_plants(i.stations, cities, names)
+    """The segments of the plants that were picked in each city, with their place in the
+    order in which a city's segments are shown."""
+    segments = catalogue.planting_segments(i.plants, planting_windows(i), i.picks)
+    return relational.with_display_place(segments, "planting_segments")
+
+
+@query
+def windows_of_picked_cities(i: Inputs) -> DataFrame:
+    """The segments of picked plants that hummingbirds visit, from a history written by city
+    of which only the cities of such picks are read."""
+    flowers = i.plants.where("attracts_hummingbirds").select("common_name")
+    picks = relational.keep_selected(i.picks, flowers, ["common_name"])
+    path = f"{scratch_dir(i.spark, 'by-city')}/history"
+    tables.write_by_city(i.history, path)
+    own = tables.read_cities(i.spark, path, picks, schemas.HISTORY)
+    windows = questions.windows_of_cities(own, i.sun, i.plants, picks, AS_OF)
+    return catalogue.planting_segments(i.plants, windows, picks)
 
 
 @query
@@ -296,6 +309,21 @@ def csv_mixed_headers(i: Inputs) -> DataFrame:
     return tables.read_csv(i.spark, [f"{path}/part=1", f"{path}/part=2"], schemas.RAW_WEATHER, mixed_headers=True)
 
 
+@query
+def csv_three_headers(i: Inputs) -> DataFrame:
+    """Files of three shapes: the usual one, columns in another order, and further columns
+    of which one has a comma in its name."""
+    path = f"{scratch_dir(i.spark, 'shapes')}/csv"
+    year = F.coalesce(F.year("date"), F.lit(0))
+    tables.write_csv(i.raw_weather.where(year < 1995), f"{path}/part=1")
+    middle = i.raw_weather.where((year >= 1995) & (year < 1998))
+    tables.write_csv(middle.select("city", "precipitation", "temp_min", "temp_max", "date"), f"{path}/part=2")
+    late = i.raw_weather.where(year >= 1998)
+    tables.write_csv(late.select(F.lit("x").alias("read by, if known"), "*", year.alias("year")), f"{path}/part=3")
+    parts = [f"{path}/part={n}" for n in (1, 2, 3)]
+    return tables.read_csv(i.spark, parts, schemas.RAW_WEATHER, mixed_headers=True)
+
+
 @query
 def csv_skipped_values(i: Inputs) -> DataFrame:
     """Rows of each city whose high is text, and how many highs are left."""
@@ -332,6 +360,16 @@ def full_rebuild(i: Inputs) -> DataFrame:
     return snapshots.read_published(i.spark, _rebuild(i), "planting_gantt")
 
 
+@query
+def stored_filter_options(i: Inputs) -> DataFrame:
+    """The filter options that a rebuild stores, after some plants were added later."""
+    root = f"{scratch_dir(i.spark, 'options')}/tables"
+    late = F.col("growing_season") == "PROMO"
+    jobs.full_rebuild(i.spark, root, i.raw_weather, i.history, i.sun, i.plants.where(~late), AS_OF)
+    jobs.add_plants(i.spark, root, i.plants.where(late))
+    return jobs.stored_filter_options(i.spark, root)
+
+
 @query
 def build_audit(i: Inputs) -> DataFrame:
     return jobs.build_audit(i.spark, _rebuild(i))
