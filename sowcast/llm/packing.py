@@ -38,11 +38,34 @@ def _encoding(ranks_path: str, pattern: str):
     return tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: len(ranks)})
 
 
-def token_ids(text: str | None, ranks_path: str, pattern: str) -> np.ndarray:
-    return _encoding(ranks_path, pattern).encode_to_numpy(text or "", allowed_special="all")
+@functools.cache
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def token_ids(text: str | None, ranks_path: str, pattern: str, tokenizer_path: str | None = None) -> np.ndarray:
+    """The ids by the ranks, or by the slower tokenizer of the same vocabulary for texts
+    on which the pattern fails: it runs out of stack on a million blanks in a row."""
+    try:
+        return _encoding(ranks_path, pattern).encode_to_numpy(text or "", allowed_special="all")
+    except ValueError:
+        if tokenizer_path is None:
+            raise
+        return np.array(_tokenizer(tokenizer_path).encode(text, add_special_tokens=False).ids, np.uint32)
 
 
-def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int, end_id: int, id_column: str, text_column: str) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    capacity: int,
+    end_id: int,
+    id_column: str,
+    text_column: str,
+    tokenizer_path: str | None = None,
+) -> DataFrame:
     """A row per piece: its document, number, place in the document, length and checksum."""
     schema = T.StructType(
         [
@@ -59,7 +82,7 @@ def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int, end_id
         for batch in batches:
             out: list[tuple] = []
             for row, text in enumerate(batch.column(1)):
-                ids = np.append(token_ids(text.as_py(), ranks_path, pattern), end_id).astype("<u4")
+                ids = np.append(token_ids(text.as_py(), ranks_path, pattern, tokenizer_path), end_id).astype("<u4")
                 first = len(ids) % capacity or min(len(ids), capacity)
                 for piece, start in enumerate([0, *range(first, len(ids), capacity)]):
                     part = ids[start : start + capacity if piece else first]
@@ -128,13 +151,15 @@ def pack_documents(
     items_per_task: int = 100_000,
     slack: int = 0,
     least_gain: float = 0.0,
+    tokenizer_path: str | None = None,
 ) -> DataFrame:
     """Per piece its sequence and its place there.
 
+    ``tokenizer_path`` names the tokenizer for texts that the pattern of the ranks cannot read.
     ``slack`` is the room up to which a sequence counts as full. Rounds also end when one
     merges fewer than ``least_gain`` of its items; all pieces are packed in any case.
     """
-    cut = stored(pieces(docs, ranks_path, pattern, capacity, end_id, id_column, text_column), "pieces")
+    cut = stored(pieces(docs, ranks_path, pattern, capacity, end_id, id_column, text_column, tokenizer_path), "pieces")
     tasks = max(1, math.ceil(cut.count() / items_per_task))
     packed = stored(_pack(cut, capacity, 0, tasks), "packed")
     # a sequence's first piece, or item, stands for it

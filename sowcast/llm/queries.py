@@ -72,7 +72,7 @@ def op4_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, tokenizer_path=BYTE_BPE)
 
 
 @query

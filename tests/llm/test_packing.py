@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 from sowcast.llm import packing, queries
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +48,18 @@ def test_every_character_has_the_tokenizers_ids(tokenizer):
             assert packing.token_ids(text, RANKS, PATTERN).tolist() == want.ids
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 3_000_000 + "b", "\n" * 3_000_000, " \n" * 1_500_000, "x" * 3_000_000, "\u3000" * 1_000_000])
+def test_very_long_runs_have_the_tokenizers_ids(tokenizer, text):
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.token_ids(text, RANKS, PATTERN, TOKENIZER).tolist() == want
+
+
+def test_packs_very_long_white_space(spark, tokenizer):
+    texts = ["a" + " " * 1_000_000 + "b", "short", None]
+    got = frame(packing.pack_documents(docs(spark, *texts), RANKS, PATTERN, tokenizer_path=TOKENIZER))
+    check(got, list(enumerate(texts)), tokenizer)
+
+
 def test_rounds_merge_what_tasks_left(spark, tokenizer):
     rng = np.random.default_rng(3)
     texts = ["word " * int(n) for n in rng.integers(1, 40, 600)] + [None, "", "x y " * 500]
