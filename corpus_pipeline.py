@@ -36,8 +36,8 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack_documents(docs, ranks, public_tokenizers.PATTERN)
+    ranks, tokenizer = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("tiktoken", "json"))
+    return packing.pack_documents(docs, ranks, public_tokenizers.PATTERN, tokenizer_path=tokenizer)
 
 
 STAGES = [
