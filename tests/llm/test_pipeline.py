@@ -12,6 +12,8 @@ import test_packing
 from llm_helpers import frame
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from sowcast.llm import decontamination
 from sowcast.sources.scratch import stored
 
@@ -98,3 +100,20 @@ def test_an_empty_table(spark):
 
 def test_cuts_in_the_middle():
     assert decontamination.cut_words("a b. c", [{"first": 1, "end": 2}]) == "a . c"
+
+
+def test_very_long_texts_and_clashing_columns(spark, tmp_path):
+    """One long run of blanks, one long word, nulls and empties go through all stages, with
+    columns whose names the operators use themselves."""
+    sf = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = [(10**6 + n, text, "en", "src", 0) for n, text in enumerate(["a" + " " * 1_000_000 + "b", "x" * 300_000, "", None, "\n" * 1_000_000])]
+    names = ("row", "key", "score", "predicted", "name", "bin", "fill", "component", "digest", "body")
+    docs = sf.unionByName(spark.createDataFrame(odd, sf.schema))
+    docs = stored(docs.select("*", *[F.lit(7).alias(c) for c in names]), "odd")
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stored(stage(spark, docs, SF), name)
+        if name != "best_fit_packing":
+            assert docs.columns == before.columns
+            assert {10**6, 10**6 + 1} <= {r.doc_id for r in docs.where(f"doc_id >= {10**6}").collect()}
+    lengths = {r.doc_id: r.n for r in docs.groupBy("doc_id").agg(F.sum("length").alias("n")).where(f"doc_id >= {10**6}").collect()}
+    assert lengths[10**6] == 1_000_002
