@@ -30,6 +30,11 @@ def irrigation_tracker(daily: DataFrame, needed: float = 1.0, light: float = 0.5
     weekly = daily.groupBy("city", week_start(F.col("date").cast("date")).alias("week_start")).agg(
         round_half_up(F.sum("precipitation"), 3).alias("total_rainfall")
     )
+    return tracker_of_weeks(weekly, needed, light)
+
+
+def tracker_of_weeks(weekly: DataFrame, needed: float = 1.0, light: float = 0.5) -> DataFrame:
+    """The tracker from rounded totals per city and week."""
     need = F.lit(float(needed))
     return weekly.select(
         "city",

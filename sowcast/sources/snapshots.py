@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sowcast.operators.relational import row_counts
 from sowcast.sources.tables import read_csv, read_table, write_csv, write_table
 
-_LOG_SCHEMA = "sequence LONG, table_name STRING, format STRING, schema STRING, path STRING, row_count LONG"
+_LOG_SCHEMA = "sequence LONG, table_name STRING, format STRING, schema STRING, path STRING, row_count LONG, adds_to_earlier BOOLEAN"
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,7 @@ class Version:
     format: str
     schema: str
     row_count: int | None = None  # counted while it was written; older logs do not tell
+    adds_to_earlier: bool = False  # a part of a table in parts, see read_parts
 
     def read(self, spark: SparkSession) -> DataFrame:
         if self.format == "csv":
@@ -74,7 +75,7 @@ def publish(spark: SparkSession, root: str, versions: Sequence[Version]) -> None
     last = log.agg(F.max("sequence")).first()[0] if log is not None else None
     # by the clock, so that two publishers do not take the same number
     sequence = max((last or 0) + 1, time.time_ns())
-    _append(spark, root, [(sequence, v.table, v.format, v.schema, v.path, v.row_count) for v in versions])
+    _append(spark, root, [(sequence, v.table, v.format, v.schema, v.path, v.row_count, v.adds_to_earlier) for v in versions])
 
 
 def _append(spark: SparkSession, root: str, lines: list[tuple]) -> None:
@@ -110,20 +111,36 @@ def published_counts(spark: SparkSession, root: str, tables: Sequence[str]) -> D
     return counts.unionByName(row_counts(untold)) if untold else counts
 
 
+def read_parts(spark: SparkSession, root: str, tables: Sequence[str]) -> dict[str, dict[int, DataFrame]]:
+    """Tables in parts as of one moment, each by the sequence in which its parts were
+    published: the last whole version and all that were added since."""
+    log = _log(spark, root)
+    lines = log.where(F.col("table_name").isin(list(tables))).orderBy("sequence").collect() if log is not None else []
+    found: dict[str, dict[int, Version]] = {t: {} for t in tables}
+    for r in lines:
+        if not r.adds_to_earlier:
+            found[r.table_name].clear()
+        found[r.table_name][r.sequence] = Version(r.table_name, r.path, r.format, r.schema, r.row_count)
+    if missing := [t for t in tables if not found[t]]:
+        raise LookupError(f"no published version of {', '.join(missing)} under {root}")
+    return {t: {n: version.read(spark) for n, version in parts.items()} for t, parts in found.items()}
+
+
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The version of a table that was published last."""
     return read_all_published(spark, root, [table])[table]
 
 
 def compact_log(spark: SparkSession, root: str) -> None:
-    """Replace the log's files by one with the current versions. Files that are
-    published meanwhile stay; run it while no job is starting to read."""
+    """Replace the log's files by one with the current versions, and those that they add
+    to. Files that are published meanwhile stay; run it while no job is starting to read."""
     log = _log(spark, root)
     if log is None:
         return
     files = log.inputFiles()
-    lines = [(r.sequence, r.table_name, r.format, r.schema, r.path, r.row_count) for r in _newest(log).collect()]
-    _append(spark, root, lines)
+    whole = log.where("NOT coalesce(adds_to_earlier, false)").groupBy("table_name").agg(F.max("sequence").alias("since"))
+    needed = log.join(whole, "table_name", "left").where("since IS NULL OR sequence >= since").select(log.columns)
+    _append(spark, root, [tuple(r) for r in needed.collect()])
     for file in files:
         path = spark._jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sowcast.operators import catalogue, climate, conditions, freeze, planting, relational, weather
-from sowcast.plans import jobs, questions
+from sowcast.plans import increments, jobs, questions
 from sowcast.sources import payloads, schemas, snapshots, tables
 from sowcast.sources.scratch import scratch_dir
 from workload.bindings import AS_OF, Inputs
@@ -375,6 +375,42 @@ def build_audit(i: Inputs) -> DataFrame:
     return jobs.build_audit(i.spark, _rebuild(i))
 
 
+def _in_batches(i: Inputs, compact: bool) -> str:
+    """A history that came in three batches of years, after which some stations were corrected."""
+    root = f"{scratch_dir(i.spark, 'batches')}/tables"
+    year = F.coalesce(F.year("date"), F.lit(0))
+    corrected = i.stations.where("s_acctbal < 2000").select("city")
+    known = i.observations.join(corrected.withColumn("wrong", F.lit(1)), "city", "left")
+    # what was first told of the stations that are corrected later was ten degrees too cold
+    off = F.when(F.col("wrong").isNull(), 0).otherwise(10)
+    told = known.select("city", "date", "precipitation", *[(F.col(c) - off).alias(c) for c in ("temp_max", "temp_min", "soil_temp_0_7cm", "soil_temp_7_to_28cm")])
+    increments.start_history(i.spark, root, told.where(year < 1995))
+    increments.append_days(i.spark, root, told.where((year >= 1995) & (year < 1998)))
+    if compact:
+        increments.compact_history(i.spark, root)
+    increments.append_days(i.spark, root, told.where(year >= 1998))
+    increments.replace_cities(i.spark, root, relational.keep_selected(i.observations, corrected, ["city"]))
+    if compact:
+        increments.compact_history(i.spark, root)
+    return root
+
+
+@query
+def climatology_in_batches(i: Inputs) -> DataFrame:
+    return increments.climatology(i.spark, _in_batches(i, compact=False), AS_OF)
+
+
+@query
+def tracker_in_batches(i: Inputs) -> DataFrame:
+    return increments.tracker(i.spark, _in_batches(i, compact=False))
+
+
+@query
+def windows_in_batches(i: Inputs) -> DataFrame:
+    """Planting windows of a history in batches whose parts were united in between."""
+    return increments.planting_windows(i.spark, _in_batches(i, compact=True), i.sun, i.plants, AS_OF)
+
+
 @query
 def forecast_refresh(i: Inputs) -> DataFrame:
     """The tracker after a refresh from partly faulty payloads and another from useless ones."""
