@@ -5,11 +5,14 @@ question is answered by equi-joins from it, so its result has as many rows as
 were selected, and plants and cities are never paired with each other.
 """
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sowcast.functions.calendar import AsOf, as_of_date
 from sowcast.functions.labels import pollinator_icons, sow_label, viability_label
+from sowcast.functions.search import skip_while, widths_up_to
 from sowcast.operators.planting import GROUP
 from sowcast.operators.relational import keep_where, shuffle_again
 
@@ -72,19 +75,27 @@ def weekly_viability(
     for still counts out of ``days``.
     """
     today = as_of_date(as_of)
-    # The city's highs with their number of days, at most one entry per distinct
-    # high, are kept in its row; repeated days are counted before the shuffle.
-    highs = (
+    # The city's different highs in order, each with the number of days up to it, are kept
+    # in its row, so a band takes two searches, however many days there are; repeated
+    # days are counted before the shuffle.
+    so_far = F.sum("n").over(Window.partitionBy("city").orderBy("temp_max"))
+    counted = (
         daily.where((F.col("date") >= today) & (F.col("date") < F.date_add(today, days)))
         .groupBy("city", "temp_max")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("city")
-        .agg(F.collect_list(F.struct("temp_max", "n")).alias("highs"))
-    )
-    in_band = F.filter(
-        "highs", lambda h: h["temp_max"].between(F.col("min_viable_temp_f"), F.col("max_viable_temp_f"))
+        .agg(F.count(F.when(F.col("temp_max").isNotNull(), 1)).alias("n"))
+        .withColumn("so_far", so_far)
     )
-    viable_days = F.aggregate(in_band, F.lit(0).cast("long"), lambda total, h: total + h["n"])
+    high = F.when(F.col("temp_max").isNotNull(), F.struct("temp_max", "so_far"))
+    highs = counted.groupBy("city").agg(F.sort_array(F.collect_list(high)).alias("highs"))
+    highs = highs.withColumn("widths", widths_up_to(F.size("highs")))
+
+    def days_until(passes: Callable[[Column], Column]) -> Column:
+        at = skip_while("widths", F.lit(0), lambda at, width: passes(F.get("highs", at + width - 1)["temp_max"]))
+        return F.coalesce(F.get("highs", at - 1)["so_far"], F.lit(0))
+
+    coolest, warmest = F.col("min_viable_temp_f"), F.col("max_viable_temp_f")
+    inside = days_until(lambda high: high <= warmest) - days_until(lambda high: high < coolest)
+    viable_days = F.when(coolest <= warmest, inside).otherwise(F.lit(0)).cast("long")
     good = F.col("viable_days") >= good_days
     return (
         selected_plants(selection, plants)

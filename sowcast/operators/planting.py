@@ -1,11 +1,10 @@
 """Planting windows per city and plant group."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sowcast.functions.rounding import round_half_up
+from sowcast.functions.search import skip_while, widths_up_to
 
 GROUP = ("growing_season", "harvest_type")
 
@@ -20,26 +19,11 @@ def plant_groups(plants: DataFrame) -> DataFrame:
     )
 
 
-_MOST_DAYS = 1 << 24  # of a city; only bounds how far the widths below go
-
-
-def _widths(size: Column) -> Column:
-    """Powers of two up to a size, largest first."""
-    powers = F.array(*[F.lit(1 << n) for n in reversed(range(_MOST_DAYS.bit_length()))])
-    return F.filter(powers, lambda width: width <= size)
-
-
-def _skip(widths: Column | str, begin: Column, passes: Callable[[Column, Column], Column]) -> Column:
-    """The first place, from ``begin`` on, at which a search stops: it steps over a stretch
-    of each width, largest first, of which ``passes(place, width)`` says that it holds nothing."""
-    return F.aggregate(widths, begin, lambda at, width: at + F.when(passes(at, width), width).otherwise(F.lit(0)))
-
-
 def _block_maxima(highs: Column) -> Column:
     """The largest of every stretch of 1, 2, 4, ... values, the widest stretches first:
     ``tops[i]`` of a level is the largest of the ``width`` values from i on."""
     single = F.array(F.struct(F.lit(1).alias("width"), highs.alias("tops")))
-    wider = F.filter(F.reverse(_widths(F.size(highs))), lambda width: width > 1)
+    wider = F.filter(F.reverse(widths_up_to(F.size(highs))), lambda width: width > 1)
 
     def widen(levels: Column, width: Column) -> Column:
         tops, half = F.get(levels, F.lit(0))["tops"], (width / 2).cast("int")
@@ -97,8 +81,8 @@ def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, bucket
         .agg(tops.alias("tops"), hot.alias("hot"))
         .withColumn("top", F.get("tops", F.size("tops") - 1)["soil"])
         .where(F.col("top") > lowest)
-        .withColumn("widths", _widths(F.size("tops")))
-        .withColumn("hot_widths", _widths(F.size("hot")))
+        .withColumn("widths", widths_up_to(F.size("tops")))
+        .withColumn("hot_widths", widths_up_to(F.size("hot")))
         .withColumn("maxima", _block_maxima(F.col("hot")["high"]))
     )
     covered = (
@@ -109,7 +93,7 @@ def _starts(daily: DataFrame, freeze_dates: DataFrame, groups: DataFrame, bucket
         .drop("lowest", "highest", "bounds")
     )
     dealt = groups.withColumn("bounds", bounds).withColumn("bucket", bucket(minimum)).drop("bounds")
-    colder = _skip("widths", F.lit(0), lambda at, width: F.get("tops", at + width - 1)["soil"] <= minimum)
+    colder = skip_while("widths", F.lit(0), lambda at, width: F.get("tops", at + width - 1)["soil"] <= minimum)
     return (
         covered.join(dealt, "bucket")
         .where(minimum < F.col("top"))
@@ -144,7 +128,7 @@ def temperature_limit(
     """Outdoor starts with the first day, from the start on, whose mean high is
     above the group's maximum; null if it never gets that hot."""
     maximum = F.col("avg_max_viable_temp")
-    begin = _skip("hot_widths", F.lit(0), lambda at, width: F.get("hot", at + width - 1)["date"] < F.col("outdoor_start"))
+    begin = skip_while("hot_widths", F.lit(0), lambda at, width: F.get("hot", at + width - 1)["date"] < F.col("outdoor_start"))
     first = F.aggregate(
         "maxima",
         F.col("begin"),

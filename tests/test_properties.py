@@ -149,3 +149,29 @@ def test_a_city_with_most_rows_and_many_copies(spark):
     seen = history(spark, *[("Hot", "2020-02-01", 20.0, 40.0, 50.0, 50.0)] * 3000, ("Hot", "2020-10-01", 20.0, 40.0, 50.0, 50.0))
     assert rows(freeze.freeze_by_year(seen), "city", "year") == [("Hot", 2020)]
     assert climate.daily_climatology(seen, "2026-02-28").count() == 2
+
+
+@pytest.mark.parametrize("days", [1, 7, 365])
+def test_viable_days_equal_brute_force(spark, days):
+    rng = random.Random(days)
+    first = datetime.date(2026, 2, 28)
+    forecast = [
+        (f"city{c}", first + datetime.timedelta(d), rng.choice([None, *(x / 2 for x in range(80, 200))]))
+        for c in range(4)
+        for d in rng.sample(range(400), 300)
+        for _ in range(rng.choice([1, 1, 2]))  # some days twice
+    ]
+    forecast += [("only nulls", first, None)]
+    bands = {f"p{n}": (rng.choice([None, *map(float, range(40, 100))]), rng.choice([None, *map(float, range(40, 100))])) for n in range(60)}
+    table = plants(spark, *[{"common_name": n, "min_viable_temp_f": lo, "max_viable_temp_f": hi} for n, (lo, hi) in bands.items()])
+    cities = sorted({c for c, _, _ in forecast}) + ["no forecast"]
+    chosen = selection(spark, *[(c, n) for c in cities for n in bands])
+    daily = spark.createDataFrame(forecast, "city STRING, date DATE, temp_max DOUBLE")
+    got = catalogue.weekly_viability(daily, table, chosen, "2026-02-28", days=days)
+    expected = []
+    for c in cities:
+        mine = [t for city, d, t in forecast if city == c and 0 <= (d - first).days < days]
+        for n, (lo, hi) in bands.items():
+            if mine:
+                expected.append((c, n, sum(None not in (t, lo, hi) and lo <= t <= hi for t in mine)))
+    assert rows(got, "city", "common_name", "viable_days") == sorted(expected, key=lambda row: [str(v) for v in row])
