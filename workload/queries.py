@@ -295,7 +295,8 @@ def csv_history_roundtrip(i: Inputs) -> DataFrame:
 
 @query
 def csv_sun_roundtrip(i: Inputs) -> DataFrame:
-    return tables.read_sun_csv(i.spark, _csv(i, i.sun, "sun"))
+    month_first = i.sun.withColumn("date", F.date_format("date", "M/d/yyyy"))
+    return tables.read_sun_csv(i.spark, _csv(i, month_first, "sun"))
 
 
 @query
