@@ -14,13 +14,15 @@ run's hull. So runs are dealt out by their anchors, and equal strings meet:
    neighbours. In suffix order, the previous and next places that lie earlier in the
    corpus give each string's earlier match: its longest previous factor.
 3. Groups too large for that are reduced first: equal hulls are merged by aggregation,
-   and a group with too many different hulls is split by halves of its starts, for
-   which more bytes must agree, until it is small or all its strings are equal.
+   where the earlier match is the first place, and a group with too many different hulls
+   is split by halves of its starts, for which more bytes must agree, until it is small
+   or all its strings are equal.
 
+So a string is repeated if it has an earlier match or is the earlier match of another.
 The earlier match is the text's own or that of a row with a smaller id. Nothing here
 is cut or sampled; the bounds only choose the way. Null text is empty. Texts shorter
-than ``length`` repeat nothing. Rows that repeat both id and text are copies of each
-other but none is earlier, so ``keep_first`` keeps what only they share.
+than ``length`` repeat nothing. Rows that repeat both id and text match each other but
+none is earlier, so ``keep_first`` keeps what only they share.
 """
 
 import hashlib
@@ -37,6 +39,8 @@ from sowcast.sources.scratch import stored
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 CHUNK = 1 << 20
+#: Partitions of a shuffle beyond which they grow instead; groups inside stay the same.
+MOST_PARTITIONS = 50_000
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -125,8 +129,9 @@ def _runs(raw: np.ndarray, places: list, length: int, k: int) -> dict[str, np.nd
     }
 
 
-def _merged(runs: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The first of the runs with the same hull, for every run; those that are first."""
+def _merged(raw: np.ndarray, runs: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the runs with the same hull, for every run; those that are first.
+    Hulls with equal hashes are compared."""
     order = np.lexsort((runs["begin"], runs["hull"], runs["first"], runs["anchor"]))
     same = np.ones(len(order), bool)
     for name in ("anchor", "first", "hull", "count"):
@@ -135,6 +140,11 @@ def _merged(runs: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
     leader = np.empty(len(order), np.int64)
     leader[order] = order[head]
+    whole, begin, end = raw.tobytes(), runs["begin"].tolist(), runs["end"].tolist()
+    for i in np.flatnonzero(leader != np.arange(len(order))).tolist():
+        of = leader[i]
+        if whole[begin[i] : end[i]] != whole[begin[of] : end[of]]:
+            leader[i] = i
     return leader, np.flatnonzero(leader == np.arange(len(order)))
 
 
@@ -144,14 +154,15 @@ def _name(row_id: Column, text: Column) -> Column:
 
 
 def _anchors_that_recur(docs: DataFrame, length: int, k: int, bits: int, group: int, at_most: int):
-    """A bitmap of anchors with two runs or more, the anchors with more than
-    ``group``, at most ``at_most``, and the number of runs of the others."""
+    """A bitmap of anchors with two runs or more, the ``at_most`` most frequent anchors
+    with more than ``group``, a table of further ones if there are any, and the number
+    of runs of the others."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw, places in _chunks([t.as_py().encode() for t in batch.column(0)], length):
                 runs = _runs(raw, places, length, k)
-                leader, leaders = _merged(runs)
+                leader, leaders = _merged(raw, runs)
                 # a merged run counts as two, as its copies may be in different batches of other columns
                 merged = np.bincount(leader, minlength=len(leader))[leaders] > 1
                 found, group, times = np.unique(runs["anchor"][leaders], return_inverse=True, return_counts=True)
@@ -161,31 +172,56 @@ def _anchors_that_recur(docs: DataFrame, length: int, k: int, bits: int, group:
     counted = docs.select("text").mapInArrow(count, "anchor LONG, times LONG").groupBy("anchor").agg(F.sum("times").alias("times"))
     recur = stored(counted.where("times > 1"), "anchors")
     bitmap = bitmap_of(recur, "anchor", bits)
-    large = recur.where(F.col("times") > group).orderBy(F.desc("times"), "anchor").limit(at_most)
-    large = np.sort(large.select("anchor").toArrow().column(0).to_numpy())
+    over = recur.where(F.col("times") > group)
+    sent = over.orderBy(F.desc("times"), "anchor").limit(at_most).toArrow()
+    further = None
+    if sent.num_rows == at_most:
+        last_times, last = sent.column("times")[-1].as_py(), sent.column("anchor")[-1].as_py()
+        after = (F.col("times") < last_times) | ((F.col("times") == last_times) & (F.col("anchor") > last))
+        further = over.where(after).select("anchor")
     rest = recur.where(F.col("times") <= group).agg(F.sum("times")).first()[0] or 0
-    return bitmap, large, rest
+    return bitmap, np.sort(sent.column("anchor").to_numpy()), further, rest
 
 
-def _previous_smaller(value: np.ndarray, joined: np.ndarray) -> np.ndarray:
+def _previous_smaller(value: np.ndarray, joined: np.ndarray, or_equal: bool = False) -> np.ndarray:
     """For each place the nearest one before, in the same chain of joined places, with
-    a smaller value, or -1. Pointer jumping."""
+    a smaller value (or an equal one), or -1. Pointer jumping."""
     at = np.where(joined, np.arange(len(value)) - 1, -1)
     while True:
-        go = np.flatnonzero((at >= 0) & (value[at] >= value))
+        go = np.flatnonzero((at >= 0) & (value[at] > value if or_equal else value[at] >= value))
         if not len(go):
             return at
         at[go] = at[at[go]]
 
 
+def _earlier_matches(value: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of chains of equal strings that have an earlier match, by the previous
+    and next smaller values; and those without one that are the match of others. Of
+    places with equal values, the one before is the match but not earlier."""
+    before = _previous_smaller(value, joined, or_equal=True)
+    after = len(value) - 1 - _previous_smaller(value[::-1], np.append(joined[1:], False)[::-1])[::-1]
+    after[after == len(value)] = -1
+    matched = np.zeros(len(value), bool)
+    for match in (before, after):
+        matched[match[match >= 0]] = True
+    tied = before.copy()
+    while True:
+        go = np.flatnonzero((tied >= 0) & (value[tied] == value))
+        if not len(go):
+            break
+        tied[go] = before[tied[go]]
+    later = (tied >= 0) | (after >= 0)
+    return later, (matched | (before >= 0)) & ~later
+
+
 def _factors(raw: np.ndarray, offset: np.ndarray, first: np.ndarray, size: np.ndarray, group: np.ndarray, rank: np.ndarray, length: int):
-    """For each run and start: whether its string has another place, and whether it
-    has an earlier one, by the runs' ``rank`` in the corpus. Runs of a group are
-    aligned at their anchor; ``first`` is the column of their first byte."""
+    """For each run and start: whether its string has an earlier match, by the runs'
+    ``rank`` in the corpus, and whether it has none but is that of another. Runs of a
+    group are aligned at their anchor; ``first`` is the column of their first byte."""
     n, columns = len(first), int((first + size).max())
     last = first + size - 1
-    repeated = np.zeros((n, columns), bool)
     later = np.zeros((n, columns), bool)
+    source = np.zeros((n, columns), bool)
     entering = np.argsort(-last, kind="stable")
     entered = 0
     order, common = np.zeros(0, np.int64), np.zeros(0, np.int32)
@@ -217,14 +253,9 @@ def _factors(raw: np.ndarray, offset: np.ndarray, first: np.ndarray, size: np.nd
             member = joined.copy()
             member[:-1] |= joined[1:]
             at = np.flatnonzero(member)
-            run, chain = order[at], joined[at]
-            value = rank[run]
-            before = _previous_smaller(value, chain)
-            back = np.append(chain[1:], False)[::-1]
-            after = _previous_smaller(value[::-1], back)[::-1]
-            repeated[run, column] = True
-            later[run, column] = (before >= 0) | (after >= 0)
-    return repeated, later
+            run = order[at]
+            later[run, column], source[run, column] = _earlier_matches(rank[run], joined[at])
+    return later, source
 
 
 def _spans(flags: np.ndarray, start: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,7 +269,8 @@ def _spans(flags: np.ndarray, start: np.ndarray, first: np.ndarray, length: int)
 
 
 def _find_in_groups(runs: DataFrame, length: int, tasks: int) -> DataFrame:
-    """Spans of the strings with other places among runs of the same ``anchor``."""
+    """Spans of the strings with other places among runs of the same ``anchor``. A
+    group holds some ``task_bytes``, so a task never holds more than that at once."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches).combine_chunks()
@@ -256,15 +288,16 @@ def _find_in_groups(runs: DataFrame, length: int, tasks: int) -> DataFrame:
         known = {p: r for r, p in enumerate(sorted(set(place)))}
         rank = np.array([known[p] for p in place], np.int64)
         offset = np.cumsum(size[take]) - size[take]
-        repeated, later = _factors(raw, offset, first[take], size[take], group[take].astype(np.int64), rank, length)
-        for flags, is_later in ((repeated, False), (later, True)):
+        later, source = _factors(raw, offset, first[take], size[take], group[take].astype(np.int64), rank, length)
+        for flags, is_later in ((source, False), (later, True)):
             run, begin, end = _spans(flags, start[take], first[take], length)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([names[take[r]] for r in run], pa.string()), pa.array(begin), pa.array(end), pa.array([is_later] * len(run), pa.bool_())],
                 names=["name", "begin", "end", "later"],
             )
 
-    dealt = runs.withColumn("task", F.pmod("anchor", F.lit(tasks)))
+    # partitions follow the bytes, not the session's setting
+    dealt = runs.withColumn("task", F.pmod("anchor", F.lit(tasks))).repartition(min(tasks, MOST_PARTITIONS), "task")
     return dealt.groupBy("task").applyInArrow(_whole(find), "name STRING, begin LONG, end LONG, later BOOLEAN")
 
 
@@ -288,8 +321,7 @@ def _reduce_large(runs: DataFrame, length: int, k: int, group: int) -> tuple[lis
         hulls = stored(runs.groupBy(*hull).agg(F.count(F.lit(1)).alias("times"), F.min("place").alias("leader")), "hulls")
         copies = runs.drop("hull").join(hulls.where("times > 1"), hull)
         of = [F.col("name"), F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + length).alias("end")]
-        spans.append(copies.select(*of, F.lit(False).alias("later")))
-        spans.append(copies.where("place > leader").select(*of, F.lit(True).alias("later")))
+        spans.append(copies.select(*of, (F.col("place") > F.col("leader")).alias("later")))
         leaders = runs.withColumnRenamed("place", "leader").join(hulls.select(*hull, "leader"), [*hull, "leader"], "left_semi")
         leaders = stored(leaders.dropDuplicates([*hull, "leader"]).drop("print", "leader"), "leaders")
         sizes = stored(leaders.groupBy("anchor").count().where("count > 1").withColumnRenamed("count", "hulls"), "sizes")
@@ -335,13 +367,13 @@ def repeated_spans(
     large_at_most: int = 1_000_000,
 ) -> DataFrame:
     """``name`` of a row, ``begin`` and ``end`` in its bytes of strings of at least
-    ``length`` bytes with other places; with ``later``, of those with earlier places.
-    Spans of one row may overlap."""
+    ``length`` bytes with other places: ``later`` ones have an earlier match, others are
+    the earlier match of some. Spans of one row may overlap."""
     if not 0 < k <= length < CHUNK // 2:
         raise ValueError("length must be at least k and small against a chunk")
     text = F.coalesce(F.col(text_column), F.lit(""))
     slim = docs.select(F.col(id_column).alias("doc_id"), _name(F.col(id_column), text).alias("name"), text.alias("text"))
-    bitmap, large, rest = _anchors_that_recur(slim, length, k, filter_bits, group, large_at_most)
+    bitmap, large, further, rest = _anchors_that_recur(slim, length, k, filter_bits, group, large_at_most)
     sent = docs.sparkSession.sparkContext.broadcast((bitmap, large))
     id_type = slim.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", "name", "anchor", "start", "first", "count", "hull", "large", "later"]
@@ -352,32 +384,29 @@ def repeated_spans(
             texts = [t.as_py().encode() for t in batch.column(2)]
             for raw, places in _chunks(texts, length):
                 runs = _runs(raw, places, length, k)
-                leader, leaders = _merged(runs)
+                leader, leaders = _merged(raw, runs)
                 begins = np.array([p[2] for p in places])
                 part = np.searchsorted(begins, runs["begin"], side="right") - 1
                 row = np.array([p[0] for p in places])[part]
                 start = runs["begin"] - begins[part] + np.array([p[1] for p in places])[part]
                 go = leaders[in_bitmap(bitmap, runs["anchor"][leaders])]
-                yield out(batch, row[go], runs, start, go, [raw[b:e].tobytes() for b, e in zip(runs["begin"][go], runs["end"][go])], np.isin(runs["anchor"][go], large), False)
-                # runs with the same hull in this chunk: all have other places, and all
-                # but those of the first place have earlier ones
+                yield out(batch, row[go], runs, start, go, [raw[b:e].tobytes() for b, e in zip(runs["begin"][go], runs["end"][go])], np.isin(runs["anchor"][go], large), [False] * len(go))
+                # runs with the same hull in this chunk: their earlier match is the first place
                 times = np.bincount(leader, minlength=len(leader))
                 copies = np.flatnonzero(times[leader] > 1)
-                yield out(batch, row[copies], runs, start, copies, [None] * len(copies), None, False)
                 ids, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 place = [(ids[row[i]] is None, ids[row[i]] or 0, names[row[i]], int(start[i])) for i in copies]
                 least: dict[int, tuple] = {}
                 for i, p in zip(leader[copies].tolist(), place):
                     least[i] = min(p, least.get(i, p))
-                late = np.array([p > least[i] for i, p in zip(leader[copies].tolist(), place)], bool)
-                copies = copies[late] if len(copies) else copies
-                yield out(batch, row[copies], runs, start, copies, [None] * len(copies), None, True)
+                late = [p > least[i] for i, p in zip(leader[copies].tolist(), place)]
+                yield out(batch, row[copies], runs, start, copies, [None] * len(copies), None, late)
 
     def out(batch, row, runs, start, at, hulls, is_large, later) -> pa.RecordBatch:
         take = pa.array(row, pa.int64())
         arrays = [batch.column(0).take(take), batch.column(1).take(take)]
         arrays += [pa.array(x, pa.int64()) for x in (runs["anchor"][at], start[at], runs["first"][at], runs["count"][at])]
-        arrays += [pa.array(hulls, pa.binary()), pa.array([False] * len(at) if is_large is None else is_large, pa.bool_()), pa.array([later] * len(at), pa.bool_())]
+        arrays += [pa.array(hulls, pa.binary()), pa.array([False] * len(at) if is_large is None else is_large, pa.bool_()), pa.array(later, pa.bool_())]
         return pa.RecordBatch.from_arrays(arrays, names=columns)
 
     schema = f"doc_id {id_type}, name STRING, anchor LONG, start LONG, first LONG, count LONG, hull BINARY, large BOOLEAN, later BOOLEAN"
@@ -385,6 +414,9 @@ def repeated_spans(
     sent.unpersist()
     merged = found.where("hull IS NULL").select("name", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + length).alias("end"), "later")
     runs = found.where("hull IS NOT NULL")
+    if further is not None:
+        known = further.withColumn("more", F.lit(True))
+        runs = stored(runs.join(known, "anchor", "left").withColumn("large", F.col("large") | F.col("more").isNotNull()).drop("more"), "sized")
     wanted = ["anchor", "doc_id", "name", "start", "first", "count", "hull"]
     spans, small = _reduce_large(runs.where("large").select(*wanted), length, k, group)
     per_run = length + (length - k) // 2
@@ -413,7 +445,9 @@ def kept_bytes(raw: bytes, spans: list) -> tuple[bytes, int]:
 
 
 def _with_spans(docs: DataFrame, id_column: str, text_column: str, keep_first: bool, options: dict) -> DataFrame:
-    spans = repeated_spans(docs, id_column, text_column, **options).where(F.col("later") == keep_first)
+    spans = repeated_spans(docs, id_column, text_column, **options)
+    if keep_first:
+        spans = spans.where("later")
     # at most a few spans for each anchor of a text
     own = spans.groupBy("name").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     name = _name(F.col(id_column), F.coalesce(F.col(text_column), F.lit("")))

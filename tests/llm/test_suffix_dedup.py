@@ -40,7 +40,10 @@ def test_query_against_brute_force(spark):
 
 
 @pytest.mark.parametrize("keep_first", [False, True])
-@pytest.mark.parametrize("options", [{}, {"group": 2, "task_bytes": 300, "filter_bits": 1 << 15}])
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"group": 2, "task_bytes": 300, "filter_bits": 1 << 15}, {"group": 2, "task_bytes": 300, "large_at_most": 3}],
+)
 def test_passages_copies_and_periods(spark, keep_first, options):
     pick = random.Random(4)
     word = lambda n: "".join(pick.choices("abcdefé ", k=n))
@@ -53,6 +56,29 @@ def test_passages_copies_and_periods(spark, keep_first, options):
     assert got == brute(list(enumerate(texts)), 40, keep_first)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_earlier_matches_of_chains(seed):
+    pick = np.random.default_rng(seed)
+    value = pick.integers(0, 6, 200)
+    joined = pick.random(200) < 0.7
+    joined[0] = False
+    later, source = s._earlier_matches(value, joined)
+    chain = np.cumsum(~joined)
+    for c in np.unique(chain):
+        own = value[chain == c]
+        least = own == own.min()
+        assert later[chain == c].tolist() == (~least).tolist()
+        assert source[chain == c].tolist() == (least & (len(own) > 1)).tolist()
+
+
+def test_hulls_with_equal_hashes_are_compared():
+    raw = np.frombuffer(b"a" * 60 + b"b" * 60 + b"a" * 60, np.uint8)
+    runs = {"begin": np.array([0, 60, 120]), "end": np.array([60, 120, 180])}
+    runs |= {name: np.zeros(3, np.int64) for name in ("anchor", "first", "hull", "count")}
+    leader, leaders = s._merged(raw, runs)
+    assert leader.tolist() == [0, 1, 0] and leaders.tolist() == [0, 1]
+
+
 def test_long_texts_are_cut_into_chunks(spark, monkeypatch):
     pick = random.Random(6)
     long = "".join(pick.choices("abcd", k=30_000))
