@@ -66,8 +66,30 @@ RECORDS = T.StructType(
 )
 
 
+# What Spark calls a scheme, and what the tasks' file systems call it.
+SCHEMES = {
+    "file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs",
+    "abfs": "abfs", "abfss": "abfss", "hdfs": "hdfs", "viewfs": "viewfs",
+}
+
+
+def task_uri(uri: str) -> str:
+    """The place that Spark calls ``uri`` as tasks have to call it; raises where tasks
+    can't write. HDFS takes its native library on the executors."""
+    scheme, colon, rest = uri.partition(":")
+    if uri.startswith("/"):
+        scheme, rest = "file", uri
+    elif not colon or "/" in scheme:
+        raise ValueError(f"not an absolute place: {uri}")
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives can't be written to {scheme}: use one of {', '.join(SCHEMES)}")
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"{SCHEMES[scheme]}:{rest}"
+
+
 def _file(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/+|^/+", "file:///", uri))
+    return pyarrow.fs.FileSystem.from_uri(task_uri(uri))
 
 
 def record_bytes(record_id: str, url: str | None, payload: bytes | None, size: int, digest: str, refers_to: str | None, date: str) -> bytes:
@@ -173,6 +195,7 @@ def write_archives(
     date: str = "1970-01-01T00:00:00Z",
 ) -> DataFrame:
     """Write a record per row into archives under ``folder`` and return the index."""
+    task_uri(folder)  # a place that tasks can't write to is refused before any job
     payload = F.coalesce(F.col(payload_column), F.lit("")).cast("binary")
     rows = pages.select(
         F.col(id_column).cast("string").alias("page"),

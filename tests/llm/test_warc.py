@@ -4,6 +4,7 @@ from urllib.parse import unquote
 
 import duckdb
 import pyarrow.fs as pafs
+import pytest
 import zstandard
 from llm_helpers import SF, frame
 
@@ -32,6 +33,30 @@ def report(df):
     return sorted((tuple(r) for r in got), key=repr)
 
 
+@pytest.mark.parametrize(
+    "uri, place",
+    [
+        ("/a/b:c", "file:///a/b:c"),
+        ("file:/a/b", "file:///a/b"),
+        ("file:///a/b", "file:///a/b"),
+        ("s3a://bucket/a", "s3://bucket/a"),
+        ("s3n://bucket/a", "s3://bucket/a"),
+        ("gs://bucket/a", "gs://bucket/a"),
+        ("abfss://c@account.dfs.core.windows.net/a", "abfss://c@account.dfs.core.windows.net/a"),
+        ("hdfs://name:8020/a", "hdfs://name:8020/a"),
+    ],
+)
+def test_places_are_called_as_tasks_call_them(uri, place):
+    assert warc.task_uri(uri) == place
+
+
+@pytest.mark.parametrize("uri", ["dbfs:/a", "a/b", "wasb://c@account/a", ""])
+def test_unknown_places_are_refused_before_any_job(spark, uri):
+    pages = spark.createDataFrame([(1, "u", "x")], PAGES)
+    with pytest.raises(ValueError):
+        warc.write_archives(pages, uri)
+
+
 def test_query_against_brute_force(spark):
     rows = duckdb.sql(f"SELECT page_id, url, html FROM '{SF}/pages.parquet'").fetchall()
     assert report(queries.op7_warc_bundles(spark, SF)) == brute(rows)
