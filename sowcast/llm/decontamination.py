@@ -4,16 +4,19 @@ A task gathers documents into shards of bounded size and indexes each: the words
 that occur in some phrase are symbols, all others and the ends of documents are
 separators. Phrases are sought backwards by ranks in a wavelet tree over the
 Burrows-Wheeler transform, all at once; occurrences are located by walking to
-sampled suffix positions; their word spans are merged per document. Nothing is
+sampled suffix positions; their word spans are merged per document. No document is
 shuffled. Documents longer than a shard are a shard of their own.
 
+Phrases reach the tasks in blocks of so many at most, cut in Spark from items of any
+length. A benchmark of several blocks takes as many passes, each written as a table
+before the next block is sent, so driver and tasks hold one block at a time.
+
 Words are runs of digits, letters a-z (A-Z lower-cased) and non-ASCII characters.
 A phrase is ``width`` consecutive words of an item, or all words of a shorter one.
 Items and documents that are null or have no words match nothing. Items that
 repeat an id count once; one without an id has the empty string for it.
 """
 
-import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -24,8 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from sowcast.sources.scratch import stored
+
 _WORD_BYTES = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(128, 256))
 _TO_WORDS = bytes(c if c in _WORD_BYTES else 32 for c in bytes(range(256)).lower())
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # the same in lower-case text
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
 SAMPLE_EVERY = 16
 
@@ -217,6 +224,22 @@ def _search_shards(batches: Iterator[pa.RecordBatch], phrases: Phrases, keep: li
         yield pa.RecordBatch.from_arrays(kept + arrays, names=[*keep, *types.names])
 
 
+def _item_parts(benchmark: DataFrame, item_column: str, text_column: str, width: int, part_words: int) -> DataFrame:
+    """The distinct parts of the items, each of at most ``part_words`` phrases, with
+    their number; parts share words, so that every phrase lies in one."""
+    lower = F.translate(F.coalesce(F.col(text_column), F.lit("")), _UPPER, _LOWER)
+    item = F.coalesce(F.col(item_column).cast("string"), F.lit(""))
+    phrases = F.greatest(F.size("words") - (width - 1), F.lit(1))
+    return (
+        benchmark.select(item.alias("item"), F.regexp_extract_all(lower, F.lit(_WORD), F.lit(0)).alias("words"))
+        .where(F.size("words") > 0)
+        .withColumn("first", F.explode(F.sequence(F.lit(0), phrases - 1, F.lit(part_words))))
+        .select("item", F.array_join(F.slice("words", F.col("first") + 1, part_words + width - 1), " ").alias("text"))
+        .distinct()
+        .withColumn("phrases", F.greatest(F.size(F.split("text", " ")) - (width - 1), F.lit(1)))
+    )
+
+
 def find_phrases(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -225,22 +248,20 @@ def find_phrases(
     item_text_column: str = "text",
     width: int = 10,
     cut: bool = False,
-    block_bytes: int = 32 << 20,
+    block_phrases: int = 1 << 19,
+    part_words: int = 1 << 12,
     shard_words: int = 1 << 20,
 ) -> DataFrame:
     """Per row of ``docs``: ``row`` (its columns but the text), ``n_words``, ``spans``
     (merged, in words, end excluded) and ``items`` (ids with occurring phrases, as
     strings). With ``cut``, also ``text``, without the spans.
 
-    Phrases travel to every task in blocks of at most about ``block_bytes`` of item
-    texts; a larger benchmark takes several passes over the documents, in one stage.
+    Phrases travel to every task in blocks of about ``block_phrases``; a larger benchmark
+    takes several passes over the documents, each stored.
     """
-    items = benchmark.select(
-        F.coalesce(F.col(item_column).cast("string"), F.lit("")).alias("item"),
-        F.coalesce(F.col(item_text_column), F.lit("")).alias("text"),
-    )
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
+    parts = stored(_item_parts(benchmark, item_column, item_text_column, width, part_words), "parts")
+    total = parts.agg(F.sum("phrases")).first()[0] or 0
+    blocks = max(1, -(-total // block_phrases))
     context = docs.sparkSession.sparkContext
     found = docs.select(
         F.struct(*[c for c in docs.columns if c != text_column]).alias("row"),
@@ -249,7 +270,7 @@ def find_phrases(
         F.array().cast("array<string>").alias("items"),
     )
     for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+        own = parts.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).select("item", "text")
         sent = context.broadcast(Phrases([tuple(r) for r in own.collect()], width))
         last = block + 1 == blocks
         keep = ["row", "text"] if cut or not last else ["row"]
@@ -262,6 +283,9 @@ def find_phrases(
             return _search_shards(batches, sent.value, keep, now, shard_words)
 
         found = found.drop("n_words").mapInArrow(search, schema)
+        if not last:
+            found = stored(found, "searched")
+            sent.unpersist()
     return found
 
 

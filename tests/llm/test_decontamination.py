@@ -48,7 +48,7 @@ def test_query_against_brute_force(spark):
     assert any(v[4] for v in got.values())
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 20}, {"shard_words": 3}])
+@pytest.mark.parametrize("options", [{}, {"block_phrases": 2}, {"shard_words": 3}, {"part_words": 1}])
 def test_short_items_repeats_and_nulls(spark, options):
     items = [(1, "a b"), (2, "B, c"), (3, "x"), (None, "a b c d e f g h i j k"), (4, ""), (5, None), (1, "é ü"), (10, "a b")]
     texts = ["a b c a b", "A-B\nx", None, "", "é  Ü a", "a b c d e f g h i j k l", "y " * 5000 + "x", "...", "b c b c"]
@@ -57,15 +57,28 @@ def test_short_items_repeats_and_nulls(spark, options):
     assert got == brute(list(enumerate(texts)), items)
 
 
-def test_random_texts_and_long_repeats(spark):
+@pytest.mark.parametrize("options", [{"shard_words": 500}, {"block_phrases": 40, "part_words": 7}])
+def test_random_texts_and_long_repeats(spark, options):
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(list("abc"), rng.integers(0, 200))) for _ in range(40)] + ["a " * 3000] * 3
     items = [(i, " ".join(rng.choice(list("abcd"), rng.integers(1, 14)))) for i in range(30)]
+    items += [(30 + i, ", ".join(rng.choice(list("ABc"), 80))) for i in range(3)]
     bench = spark.createDataFrame(items, "item_id LONG, text STRING")
-    got = report(d.overlap_report(docs(spark, *texts), bench, shard_words=500))
+    got = report(d.overlap_report(docs(spark, *texts), bench, **options))
     assert got == brute(list(enumerate(texts)), items)
 
 
+def test_items_are_cut_into_parts_that_hold_every_phrase_once(spark):
+    rng = np.random.default_rng(2)
+    items = [(i, "-".join(rng.choice(list("abcdefgh"), n))) for i, n in enumerate((1, 9, 10, 11, 29, 30, 200))] + [(8, None), (9, "."), (6, "z")]
+    bench = spark.createDataFrame(items, "item_id LONG, text STRING")
+    parts = d._item_parts(bench, "item_id", "text", 10, 20).collect()
+    assert max(len(p.text.split()) for p in parts) <= 29
+    places = [max(1, len(split(t)) - 9) if split(t) else 0 for _, t in items]
+    assert sum(p.phrases for p in parts) == sum(places)
+    assert set(map(tuple, d.Phrases([(p.item, p.text) for p in parts], 10).owners)) == {(str(i),) for i in range(7)}
+
+
 def test_cutting_keeps_clean_rows_and_columns(spark):
     bench = spark.createDataFrame([(1, "one two three")], "item_id LONG, text STRING")
     table = docs(spark, "Zero, ONE two. three! four é", "one two", None, "one two three", "one two three one, two three five").withColumnRenamed("lang", "spans")
