@@ -7,7 +7,7 @@ from helpers import PLANT_DEFAULTS
 from pyspark.sql import functions as F
 
 from sowcast.operators import catalogue, climate, conditions, freeze, planting, relational, weather
-from sowcast.sources import schemas
+from sowcast.sources import schemas, tables
 from workload.queries import QUERIES
 
 SUN = (
@@ -318,3 +318,66 @@ def test_registered_queries_have_no_product_joins(spark, name):
     text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in text
     assert "NestedLoop" not in text
+
+
+class TestBucketedWindows:
+    KEYS = ["city", *planting.GROUP]
+
+    @pytest.fixture
+    def windows(self, spark, tmp_path):
+        table = f"windows_{tmp_path.name}"
+        season, harvest = PLANT_DEFAULTS["growing_season"], PLANT_DEFAULTS["harvest_type"]
+        day = F.date_add(F.lit("2026-04-01").cast("date"), (F.col("id") % 5).cast("int"))
+        rows = spark.range(400).select(
+            F.concat(F.lit("c"), (F.col("id") % 200).cast("string")).alias("city"),
+            F.lit(season).alias("growing_season"),
+            F.when(F.col("id") < 200, F.lit(harvest)).otherwise(F.lit("other")).alias("harvest_type"),
+            day.alias("outdoor_start"),
+            F.date_sub(day, 20).alias("planting_start"),
+            F.date_add(day, 60).alias("planting_end"),
+        )
+        path = str(tmp_path / "windows")
+        tables.write_bucketed(rows, table, path, self.KEYS, buckets=4)
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        yield rows, table, path
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql(f"DROP TABLE {table}")
+
+    def side_of_windows(self, df):
+        """The plan below the last join, on the side that scans the windows."""
+        lines = plan(df).splitlines()
+        scan = next(n for n, line in enumerate(lines) if "Scan parquet" in line and "outdoor_start" in line)
+        join = max(n for n, line in enumerate(lines[:scan]) if "SortMergeJoin" in line and "growing_season" in line)
+        depth = [len(re.match(r"[ :|+*-]*(\(\d+\) )?", line)[0]) for line in lines]
+        top = max(n for n in range(join + 1, scan + 1) if depth[n] <= min(depth[join + 1 : scan + 1]))
+        return "\n".join(lines[top : scan + 1])
+
+    def test_windows_are_not_shuffled_for_a_question(self, spark, stored, windows):
+        rows, table, _ = windows
+        segments = catalogue.planting_segments(stored["plants"], spark.table(table), stored["selection"])
+        assert "Exchange" not in self.side_of_windows(segments)
+        assert "Bucketed: true" in self.side_of_windows(segments)
+        plain = catalogue.planting_segments(stored["plants"], rows, stored["selection"])
+        assert sorted(segments.collect()) == sorted(plain.collect()) and segments.count()
+
+    def test_one_file_per_bucket(self, spark, windows):
+        _, table, path = windows
+        assert spark.table(table).select(F.input_file_name().alias("file")).distinct().count() <= 4
+
+    def test_registered_in_another_catalogue(self, spark, stored, windows):
+        rows, table, path = windows
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+        again = tables.register_bucketed(spark, f"{table}_again", path, schema, self.KEYS, buckets=4)
+        segments = catalogue.planting_segments(stored["plants"], again, stored["selection"])
+        assert "Exchange" not in self.side_of_windows(segments)
+        assert sorted(again.collect()) == sorted(rows.collect())
+        spark.sql(f"DROP TABLE {table}_again")
+        assert spark.read.parquet(path).count() == rows.count()
+
+    def test_windows_written_again_replace_the_old_ones(self, spark, windows):
+        rows, table, path = windows
+        tables.write_bucketed(rows.where("harvest_type = 'other'"), table, path, self.KEYS, buckets=4)
+        assert spark.table(table).count() == 200
+        tables.write_bucketed(rows.limit(0), table, path, self.KEYS, buckets=4)
+        assert spark.table(table).count() == 0

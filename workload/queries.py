@@ -222,6 +222,16 @@ def windows_of_picked_cities(i: Inputs) -> DataFrame:
     return catalogue.planting_segments(i.plants, windows, picks)
 
 
+@query
+def segments_of_bucketed_windows(i: Inputs) -> DataFrame:
+    """The segments of selected plants, from windows stored in buckets by city and group,
+    which are not shuffled again for each question."""
+    path = scratch_dir(i.spark, "bucketed")
+    name = "windows_" + path.rpartition("-")[2]
+    tables.write_bucketed(planting_windows(i), name, path, ["city", *planting.GROUP], buckets=8)
+    return catalogue.planting_segments(i.plants, i.spark.table(name), i.selection)
+
+
 @query
 def selection_in_list(i: Inputs) -> DataFrame:
     return relational.keep_values(i.plants, "growing_season", ["ECONOMY", "PROMO"])
