@@ -416,3 +416,20 @@ def test_days_of_the_sun_are_not_broadcast_for_their_few_stations(spark, small_b
     both = inputs.sun.select("city", "date", "sunset").join(wet.repartition("city", "date"), ["city", "date"])
     assert both.count() == 30 * 365
     assert broadcast_rows(both) < 30 * 365
+
+
+def test_plants_are_not_broadcast_for_their_small_files(spark, small_broadcasts, tmp_path):
+    names = {c: F.lit(v) for c, v in PLANT_DEFAULTS.items()} | {"common_name": F.concat(F.lit("Kale "), F.col("id").cast("string"))}
+    spark.range(3000).coalesce(1).select(*[e.alias(c) for c, e in names.items()]).write.parquet(str(tmp_path / "plants"))
+    chosen = spark.range(9000).select(F.concat(F.lit("c"), (F.col("id") % 3).cast("string")).alias("city"), F.concat(F.lit("Kale "), (F.col("id") % 3000).cast("string")).alias("common_name"))
+    found = catalogue.selected_plants(chosen, spark.read.parquet(str(tmp_path / "plants")))
+    assert found.count() == 3000
+    assert broadcast_rows(found) < 3000
+
+
+def test_names_of_parts_are_not_broadcast_for_their_small_files(spark, small_broadcasts, tmp_path):
+    spark.range(4000).coalesce(1).selectExpr("id p_partkey", "'hot bolt' p_name", "'' p_brand", "'' p_type", "1 p_size", "1D p_retailprice").write.parquet(str(tmp_path / "part.parquet"))
+    shipped = spark.range(9000).selectExpr("id % 4000 l_partkey").repartition("l_partkey")
+    found = shipped.join(Inputs(spark, str(tmp_path)).part_names, "l_partkey")
+    assert found.count() == 9000
+    assert broadcast_rows(found) < 4000
