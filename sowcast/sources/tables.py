@@ -146,9 +146,10 @@ def read_sun_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, multi_line: bool = False) -> None:
+def write_csv(df: DataFrame, path: str, single_file: bool = False, multi_line: bool = False, compression: str = "none") -> None:
     """Replace a CSV directory. ``single_file`` is for small exports only. Fails on
-    text with line breaks unless ``multi_line`` says that readers can cope."""
+    text with line breaks unless ``multi_line`` says that readers can cope. Files with
+    ``compression`` are read by one task each."""
     if not multi_line:
         df = df.select(
             *[
@@ -156,7 +157,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, multi_line: b
                 for f in df.schema
             ]
         )
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**_CSV).csv(path)
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").options(**_CSV, compression=compression).csv(path)
 
 
 def _one_line(name: str) -> Column:

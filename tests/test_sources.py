@@ -523,3 +523,11 @@ class TestJobs:
         with pytest.raises(Exception, match="broken"):
             jobs.full_rebuild(spark, root, **{**inputs, "raw_weather": more, "plants": broken}, as_of="2026-02-28")
         assert snapshots.read_published(spark, root, "raw_weather").count() == 14
+
+
+def test_stored_csv_is_compressed(spark, tmp_path):
+    rain = weather(spark, *[("Oslo", f"2026-01-{n:02d}", 40.0, 30.0, 0.5) for n in range(1, 29)])
+    version = snapshots.write_version(rain, str(tmp_path), "raw_weather", "r1", "csv")
+    files = [p.name for p in (tmp_path / "raw_weather/v=r1").glob("part-*")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    assert rows(version.read(spark)) == rows(rain)

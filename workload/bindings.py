@@ -88,9 +88,6 @@ class Inputs:
         partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         spread = self.stations.repartition(partitions, "city")
         days = spread.withColumn("date", F.explode(F.sequence(first, last)))
-        # Spark takes the 365 rows for as large as the one before and would broadcast them
-        # all; once they are shuffled it knows their size
-        days = days.repartition("city", "date")
         from_solstice = F.abs(F.dayofyear("date") - 172)
         rise = 21600 + from_solstice * 37 + F.col("s_nationkey") * 41
         dusk = 72000 - from_solstice * 41 - F.col("s_nationkey") * 37
@@ -134,7 +131,10 @@ class Inputs:
     @cached_property
     def sun(self) -> DataFrame:
         clocks = [_clock(F.col(c), "HH:mm:ss").alias(c) for c in SUN_CLOCKS]
-        return self.sun_seconds.select("city", "date", *clocks, "day_length")
+        # Spark takes the 365 rows for as large as the one before and would broadcast them
+        # all; once they are shuffled it knows their size
+        days = self.sun_seconds.repartition("city", "date")
+        return days.select("city", "date", *clocks, "day_length")
 
     @cached_property
     def plants(self) -> DataFrame:
