@@ -39,7 +39,7 @@ from sowcast.sources.scratch import stored
 
 #: begins a segment, together with the space: what is before is not blank, nor all that follows
 _CUT = re.compile(r"(?<=\S) (?=\s*\S)")
-SEGMENTS = 180_000  # of one generation of those kept in memory, of which there are two
+SEGMENTS = 260_000  # of one generation of those kept in memory, of which there are two
 TOGETHER = 300  # new segments that are tokenized in one call
 ROWS = 500  # of a batch that are held as Python strings at once
 
