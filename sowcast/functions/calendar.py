@@ -19,8 +19,11 @@ def as_of_date(as_of: AsOf = None) -> Column:
 
 def service_date(text: Column | str) -> Column:
     """A date as services write it, ``2026-02-28`` or ``2/28/2026``; null if neither."""
-    forms = [F.try_to_timestamp(F.col(text) if isinstance(text, str) else text, F.lit(f)) for f in ("yyyy-MM-dd", "M/d/yyyy")]
-    return F.coalesce(*forms).cast("date")
+    text = F.col(text) if isinstance(text, str) else text
+    # what is tried in vain costs several times as much as what can be read
+    slashed = F.when(F.contains(text, F.lit("/")), F.try_to_timestamp(text, F.lit("M/d/yyyy")))
+    dashed = F.when(~F.contains(text, F.lit("/")), F.try_to_timestamp(text, F.lit("yyyy-MM-dd")))
+    return F.coalesce(slashed, dashed).cast("date")
 
 
 def week_start(day: Column | str) -> Column:

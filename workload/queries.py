@@ -242,7 +242,7 @@ def selection_in_list(i: Inputs) -> DataFrame:
 
 def _land(i: Inputs, lines: DataFrame, label: str) -> str:
     path = f"{scratch_dir(i.spark, label)}/landed"
-    lines.write.text(path, compression="gzip")
+    lines.write.options(**tables.FAST_GZIP).text(path, compression="gzip")
     return path
 
 
