@@ -9,11 +9,12 @@ from helpers import day, days_from, plants, rows, weather
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from sowcast.operators import catalogue, climate, freeze, planting
+from sowcast.operators import catalogue, climate, freeze, planting, relational
 from sowcast.plans import jobs, questions
 from sowcast.sources import payloads, schemas, snapshots, tables
 from sowcast.sources.scratch import drop_scratch, scratch_dir, scratch_root, stored
 from workload.bindings import AS_OF, Inputs
+from workload.queries import QUERIES
 
 
 def columnar(city, days=3, start="2026-02-02", **changes):
@@ -531,3 +532,14 @@ def test_stored_csv_is_compressed(spark, tmp_path):
     files = [p.name for p in (tmp_path / "raw_weather/v=r1").glob("part-*")]
     assert files and all(name.endswith(".csv.gz") for name in files)
     assert rows(version.read(spark)) == rows(rain)
+
+
+def test_csv_export_is_compressed_and_in_order(spark):
+    got = QUERIES["csv_export"](spark, "/root/testdata/sf0.001")
+    files = got.inputFiles()
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    exported = QUERIES["planting_export"](spark, "/root/testdata/sf0.001")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in exported.schema)
+    assert exported.count() > 0 and rows(got) == rows(exported)
+    keys = [tuple(r) for file in sorted(files) for r in tables.read_csv(spark, file, schema).select(*relational.DISPLAY_ORDER["planting_export"]).collect()]
+    assert keys == sorted(keys)
